@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,11 +101,16 @@ def kpi_upsert(target: DataFrame | None, fresh: DataFrame) -> DataFrame:
     return upsert(target, fresh, ["provider_sk"], null_safe=True)
 
 
-def touched_providers(enriched: DataFrame, changed: DataFrame) -> DataFrame:
-    """All claims of the providers that a batch of claims names."""
-    names = changed.select(F.col("provider_id").alias("_touched")).distinct()
-    same = F.col("provider_id").eqNullSafe(F.col("_touched"))
-    return enriched.join(names, same, "left_semi")
+def touched_providers(enriched: DataFrame, *changes: DataFrame) -> DataFrame:
+    """All claims of the providers whose KPIs a change may move.
+
+    Pass the new rows and the rows they replace: a claim that moves between
+    providers changes both.
+    """
+    keys = [c.select(F.col("provider_sk").alias("_touched")) for c in changes]
+    touched = reduce(DataFrame.union, keys).distinct()
+    same = F.col("provider_sk").eqNullSafe(F.col("_touched"))
+    return enriched.join(touched, same, "left_semi")
 
 
 def refresh_gold(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 0.001  # a key with more than this share of the rows is hot: at most 1000 keys
@@ -22,11 +22,14 @@ def broadcast_limit(spark) -> int:
     return int(digits) * 1024 ** "bkmgt".index(unit)
 
 
-def hot_keys(df: DataFrame, key: str, hot_share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than `hot_share` of the rows; there are at most 1 / hot_share."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)).alias("_n")).scalar()
-    return counts.filter(F.col("_n") > total * hot_share).select(key)
+def hot_keys(df: DataFrame, key: str, hot_share: float = HOT_SHARE) -> list:
+    """Keys (None included) that hold more than `hot_share` of the rows.
+
+    One pass over the key column; the result has at most 1 / hot_share entries.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("_n")).scalar()
+    return [row[key] for row in counts.filter(F.col("_n") > total * hot_share).collect()]
 
 
 def lookup(
@@ -40,27 +43,20 @@ def lookup(
     """Join `facts` to `dim` (one row per `key`) without overloading any task.
 
     A dimension whose estimated size is under the session's broadcast threshold
-    is joined map-side by Spark, so keys do not matter. A larger one is joined
-    by shuffle, where the rows of each hot key and of the NULL key are spread
-    over `salts` buckets chosen by hashing `spread_by`; only the hot dimension
-    rows, at most 1 / HOT_SHARE of them, are repeated per bucket.
+    is joined map-side by Spark, so hot keys do not matter. A larger one is
+    joined by shuffle. If some key (or NULL) is hot, its rows are spread over
+    `salts` buckets chosen by hashing `spread_by`, and the dimension rows of
+    those keys, at most 1 / HOT_SHARE of them, are repeated per bucket.
     """
-    spark = facts.sparkSession
-    if estimated_bytes(dim) <= broadcast_limit(spark):
+    if estimated_bytes(dim) <= broadcast_limit(facts.sparkSession):
         return facts.join(dim, key, how)
-
-    hot = hot_keys(facts, key).withColumn("_hot", F.lit(True))
-    bucket: Column = F.pmod(F.xxhash64(*spread_by), F.lit(salts))
-    spread = F.col("_hot") | F.col(key).isNull()
-    salted_facts = (
-        facts.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.when(spread, bucket).otherwise(F.lit(0)).cast("int"))
-        .drop("_hot")
-    )
-    repeats = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted_dim = (
-        dim.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.explode(F.coalesce(repeats, F.array(F.lit(0)))))
-        .drop("_hot")
-    )
+    hot = hot_keys(facts, key)
+    if not hot:
+        return facts.join(dim, key, how)
+    named = F.col(key).isin([k for k in hot if k is not None])
+    spread = named | F.col(key).isNull()  # a NULL key matches nothing: any bucket will do
+    bucket = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
+    salted_facts = facts.withColumn("_salt", F.when(spread, bucket).otherwise(F.lit(0)))
+    copies = F.when(named, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_dim = dim.withColumn("_salt", F.explode(copies))
     return salted_facts.join(salted_dim, [key, "_salt"], how).drop("_salt")

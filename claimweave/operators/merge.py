@@ -19,10 +19,23 @@ def without_keys(
     Only the distinct keys of the batch are joined: when they are few, AQE
     broadcasts them and the target is not shuffled.
     """
-    gone = batch.select(*(F.col(k).alias(f"_gone_{k}") for k in keys)).distinct()
-    pairs = [(F.col(k), F.col(f"_gone_{k}")) for k in keys]
+    return _by_keys(target, batch, keys, null_safe, "left_anti")
+
+
+def matching(
+    target: DataFrame, batch: DataFrame, keys: list[str], null_safe: bool = False
+) -> DataFrame:
+    """Target rows whose key is in the batch."""
+    return _by_keys(target, batch, keys, null_safe, "left_semi")
+
+
+def _by_keys(
+    target: DataFrame, batch: DataFrame, keys: list[str], null_safe: bool, how: str
+) -> DataFrame:
+    named = batch.select(*(F.col(k).alias(f"_batch_{k}") for k in keys)).distinct()
+    pairs = [(F.col(k), F.col(f"_batch_{k}")) for k in keys]
     same = [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs]
-    return target.join(gone, reduce(and_, same), "left_anti")
+    return target.join(named, reduce(and_, same), how)
 
 
 def upsert(

@@ -123,12 +123,13 @@ def quarantine_reasons(quarantined: DataFrame) -> DataFrame:
 def feed_delay(bronze: DataFrame, expected: DataFrame, source: str) -> DataFrame:
     """Minutes each source's last arrival lies past its expected time (never below zero).
 
-    `expected` has one row per source: the source column and `expected_at`.
+    `expected` has one row per source: the source column and `expected_at`. A
+    source that has sent nothing has no delay yet.
     """
     arrived = bronze.groupBy(source).agg(F.max("_ingestion_ts").alias("last_arrival"))
     late = F.timestamp_diff("MINUTE", "expected_at", "last_arrival")
     return expected.join(arrived, source, "left").withColumn(
-        "delay_minutes", F.greatest(late, F.lit(0).cast("bigint"))
+        "delay_minutes", F.when(late < 0, F.lit(0).cast("bigint")).otherwise(late)
     )
 
 

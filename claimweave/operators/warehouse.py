@@ -10,7 +10,7 @@ from claimweave.operators.dedup import latest_per_key
 from claimweave.operators.dimensions import assign_sk, highest_key
 from claimweave.operators.gold import current_rows
 from claimweave.operators.lookup import lookup
-from claimweave.operators.merge import upsert
+from claimweave.operators.merge import matching, upsert
 from claimweave.sources.schemas import FACT_CLAIMS, STAGED_CLAIMS, conform
 
 CLAIM_KEY_DIGITS = 5  # about a million buckets when numbering claims
@@ -87,7 +87,7 @@ def fact_rows(
     return conform(rows, FACT_CLAIMS, stamps)
 
 
-def load_fact(
+def keyed_batch(
     fact: DataFrame,
     staged: DataFrame,
     patients: DataFrame,
@@ -95,16 +95,13 @@ def load_fact(
     plans: DataFrame,
     as_of_version: bool = False,
 ) -> DataFrame:
-    """Delete the claims named by the batch and insert their resolved rows.
+    """Staged claims as complete fact rows.
 
-    A claim that is replaced keeps its `claim_sk`; new claims are numbered
-    above the highest key in use. Loading a batch twice changes nothing.
+    A claim the fact already holds keeps its `claim_sk`; new claims are
+    numbered above the highest key in use.
     """
     rows = fact_rows(staged, patients, providers, plans, as_of_version).drop("claim_sk")
-    in_batch = rows.select(F.col("claim_id").alias("_id"))
-    known = fact.select("claim_id", "claim_sk").join(
-        in_batch, F.col("claim_id") == F.col("_id"), "left_semi"
-    )
+    known = matching(fact.select("claim_id", "claim_sk"), rows, ["claim_id"])
     keyed = assign_sk(
         rows.join(known, "claim_id", "left"),
         "claim_id",
@@ -113,4 +110,20 @@ def load_fact(
         CLAIM_KEY_DIGITS,
         keep=True,
     )
-    return upsert(fact, keyed.select(*fact.columns), ["claim_id"], null_safe=False)
+    return keyed.select(*FACT_CLAIMS.fieldNames())
+
+
+def load_fact(
+    fact: DataFrame,
+    staged: DataFrame,
+    patients: DataFrame,
+    providers: DataFrame,
+    plans: DataFrame,
+    as_of_version: bool = False,
+) -> DataFrame:
+    """Delete the claims named by the batch and insert their resolved rows.
+
+    Loading a batch twice changes nothing.
+    """
+    batch = keyed_batch(fact, staged, patients, providers, plans, as_of_version)
+    return upsert(fact, batch, ["claim_id"], null_safe=False)

@@ -23,10 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _text_date(day: Column) -> Column:
     """Even line numbers send month/day/year, odd ones ISO."""
-    slashed = F.date_format(day, "MM/dd/yyyy")
-    return F.when(F.col("l_linenumber") % 2 == 0, slashed).otherwise(
-        F.date_format(day, "yyyy-MM-dd")
+    iso = day.cast("date").cast("string")
+    slashed = F.concat(
+        F.substring(iso, 6, 2), F.lit("/"), F.substring(iso, 9, 2), F.lit("/"), F.left(iso, F.lit(4))
     )
+    return F.when(F.col("l_linenumber") % 2 == 0, slashed).otherwise(iso)
 
 
 def bronze_claims(spark: SparkSession, sf_dir: str) -> DataFrame:

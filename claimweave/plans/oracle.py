@@ -390,7 +390,10 @@ _STATEMENTS = {
     "kpi_upsert": f"""
         WITH fresh AS (
             SELECT * FROM ({_kpi('enriched_12')})
-            WHERE provider_id IN (SELECT provider_id FROM silver_2))
+            WHERE provider_sk IN (
+                SELECT coalesce(provider_sk, -1) FROM enriched_2 UNION ALL
+                SELECT coalesce(provider_sk, -1) FROM enriched_1
+                WHERE claim_id IN (SELECT claim_id FROM silver_2)))
         SELECT * FROM fresh UNION ALL
         SELECT * FROM ({_kpi('enriched_1')})
         WHERE provider_sk NOT IN (SELECT provider_sk FROM fresh)""",

@@ -214,7 +214,7 @@ def silver_upsert(lake: Lake) -> DataFrame:
 
 
 def silver_clustered(lake: Lake) -> DataFrame:
-    return tables.cluster_by(lake.silver, ["member_id", "provider_id"], 8, "claim_id").select(*CLAIM)
+    return tables.cluster_by(lake.silver, ["member_id", "provider_id", "claim_id"]).select(*CLAIM)
 
 
 def incremental_since_watermark(lake: Lake) -> DataFrame:
@@ -320,14 +320,14 @@ def provider_kpi(lake: Lake) -> DataFrame:
 
 
 def kpi_upsert(lake: Lake) -> DataFrame:
-    """KPIs of the first half, then merged with those of the providers in the second half."""
+    """KPIs of the first half, then merged with those that the second half's claims move."""
     first = lake.cleansed(lake.first_half)[0]
     batch = lake.cleansed(lake.second_half)[0]
     merged = merge.upsert(first, batch, ["claim_id"], null_safe=False)
-    target = gold.provider_kpi(lake.enriched(first))
-    fresh = gold.provider_kpi(gold.touched_providers(lake.enriched(merged), batch))
-    known = fresh.filter(F.col("provider_sk") != fn.UNRESOLVED)
-    return without(gold.kpi_upsert(target, known), "last_refreshed")
+    before, changed = lake.enriched(first), lake.enriched(batch)
+    replaced = merge.matching(before, batch, ["claim_id"])
+    fresh = gold.provider_kpi(gold.touched_providers(lake.enriched(merged), changed, replaced))
+    return without(gold.kpi_upsert(gold.provider_kpi(before), fresh), "last_refreshed")
 
 
 # --- dimensions --------------------------------------------------------------

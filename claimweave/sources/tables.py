@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from claimweave.sources.schemas import CPT, ICD10, PLANS
+from claimweave.sources.scratch import scratch_dir
 
 FORMAT = "parquet"
 REFERENCE_LISTS = {"icd10": ICD10, "cpt": CPT, "plans": PLANS}
@@ -27,18 +27,44 @@ def append(df: DataFrame, path: str, by: tuple[str, ...] = (), fmt: str = FORMAT
     df.write.format(fmt).mode("append").partitionBy(*by).save(path)
 
 
-def overwrite(df: DataFrame, path: str, by: tuple[str, ...] = (), fmt: str = FORMAT) -> None:
+def overwrite(
+    df: DataFrame,
+    path: str,
+    by: tuple[str, ...] = (),
+    fmt: str = FORMAT,
+    cluster: tuple[str, ...] = (),
+) -> None:
     """Replace a table. `df` must not read from `path`.
 
     Partitioned output is rebalanced on the partition columns first: AQE merges
     small partitions and splits one that holds most of the rows, so neither many
-    tiny files nor a single overloaded writer results.
+    tiny files nor a single overloaded writer results. With `cluster` columns
+    the rows are range-partitioned and sorted instead.
     """
-    if by:
+    if cluster:
+        df = cluster_by(df, [*by, *cluster])
+    elif by:
         df = df.hint("rebalance", *by)
     df.write.format(fmt).mode("overwrite").partitionBy(*by).save(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.exists(hadoop)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` stored in the shared scratch folder and read back.
+
+    Cuts lineage where a frame is used several times, survives the loss of
+    executors, and gives the joins that follow a known size.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    overwrite(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def register(spark: SparkSession, name: str, path: str, fmt: str = FORMAT) -> None:
     """Make the data at a location queryable by name, its current partitions included."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
@@ -46,14 +72,14 @@ def register(spark: SparkSession, name: str, path: str, fmt: str = FORMAT) -> No
         spark.catalog.recoverPartitions(name)
 
 
-def cluster_by(df: DataFrame, columns: list[str], files: int, tie: str) -> DataFrame:
-    """Range-partition and sort for lookups on `columns`.
+def cluster_by(df: DataFrame, columns: list[str], files: int | None = None) -> DataFrame:
+    """Range-partition and sort for lookups on the first of `columns`.
 
-    `tie`, a column with many values, completes the range key, so that one hot
-    combination of `columns` is cut into several files.
+    End `columns` with one of many values (the claim id): it completes the range
+    key, so that a hot combination of the others is cut into several files.
     """
-    order = [*columns, tie]
-    return df.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    ranges = [files] if files else []
+    return df.repartitionByRange(*ranges, *columns).sortWithinPartitions(*columns)
 
 
 def is_empty(df: DataFrame) -> bool:
