@@ -10,7 +10,7 @@ from claimweave.operators.dedup import latest_per_key
 from claimweave.operators.dimensions import assign_sk, highest_key
 from claimweave.operators.gold import current_rows
 from claimweave.operators.lookup import lookup
-from claimweave.operators.merge import matching, upsert
+from claimweave.operators.merge import matching, without_keys
 from claimweave.sources.schemas import FACT_CLAIMS, STAGED_CLAIMS, conform
 
 CLAIM_KEY_DIGITS = 5  # about a million buckets when numbering claims
@@ -101,7 +101,7 @@ def keyed_batch(
     numbered above the highest key in use.
     """
     rows = fact_rows(staged, patients, providers, plans, as_of_version).drop("claim_sk")
-    known = matching(fact.select("claim_id", "claim_sk"), rows, ["claim_id"])
+    known = matching(fact.select("claim_id", "claim_sk"), staged, ["claim_id"])
     keyed = assign_sk(
         rows.join(known, "claim_id", "left"),
         "claim_id",
@@ -126,4 +126,4 @@ def load_fact(
     Loading a batch twice changes nothing.
     """
     batch = keyed_batch(fact, staged, patients, providers, plans, as_of_version)
-    return upsert(fact, batch, ["claim_id"], null_safe=False)
+    return without_keys(fact, staged, ["claim_id"]).unionByName(batch)

@@ -42,13 +42,17 @@ _stored: dict[tuple[str, str, str], str] = {}
 
 
 class Lake:
-    """The layers over one data directory, each a lazy DataFrame."""
+    """The layers over one data directory.
+
+    Bronze, Silver and Gold are lazy. The star schema is stored, as it is in the
+    warehouse that its views and checks query.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A dimension as a stored table, written once per application.
+        """A table of the star schema, written once per application.
 
         Stored tables have known sizes, by which joins are planned.
         """
@@ -112,9 +116,10 @@ class Lake:
 
     @cached_property
     def patients(self) -> DataFrame:
-        first = self._table("dim_patient_1", lambda: self.patients_after(1))
         second = src.members(self.spark, self.sf_dir, True)
-        return self._table("dim_patient", lambda: dimensions.load_patients(first, second, AS_OF))
+        return self._table(
+            "dim_patient", lambda: dimensions.load_patients(self.first_patients, second, AS_OF)
+        )
 
     @cached_property
     def first_patients(self) -> DataFrame:
@@ -148,9 +153,27 @@ class Lake:
             fact, staged, self.patients, self.providers, self.plans, **options
         )
 
+    def first_fact(self) -> DataFrame:
+        """The fact load of all claims into an empty warehouse."""
+        return self.loaded(empty(self.spark, FACT_CLAIMS), self.staged())
+
     @cached_property
     def fact(self) -> DataFrame:
-        return self.loaded(empty(self.spark, FACT_CLAIMS), self.staged())
+        return self._table("fact_claims", self.first_fact)
+
+    @cached_property
+    def history_fact(self) -> DataFrame:
+        """Facts that hold the first load's member keys, some of them expired since."""
+        return self._table(
+            "history_fact",
+            lambda: warehouse.load_fact(
+                empty(self.spark, FACT_CLAIMS),
+                self.staged(),
+                self.first_patients,
+                self.providers,
+                self.plans,
+            ),
+        )
 
     # Operations
 
@@ -387,7 +410,7 @@ def staging_claims(lake: Lake) -> DataFrame:
 
 
 def fact_load(lake: Lake) -> DataFrame:
-    return without(lake.fact, *FACT_STAMPS)
+    return without(lake.first_fact(), *FACT_STAMPS)
 
 
 def fact_delete_insert(lake: Lake) -> DataFrame:
@@ -432,23 +455,12 @@ def claims_by_state(lake: Lake) -> DataFrame:
     return views.claims_by_state(lake.fact, lake.providers)
 
 
-def _history_fact(lake: Lake) -> DataFrame:
-    """Facts that hold the first load's member keys, some of them expired since."""
-    return warehouse.load_fact(
-        empty(lake.spark, FACT_CLAIMS),
-        lake.staged(),
-        lake.first_patients,
-        lake.providers,
-        lake.plans,
-    )
-
-
 def patient_claims(lake: Lake) -> DataFrame:
-    return views.patient_claims(_history_fact(lake), lake.patients, lake.plans)
+    return views.patient_claims(lake.history_fact, lake.patients, lake.plans)
 
 
 def patient_claims_all(lake: Lake) -> DataFrame:
-    return views.patient_claims_all(_history_fact(lake), lake.patients, lake.plans)
+    return views.patient_claims_all(lake.history_fact, lake.patients, lake.plans)
 
 
 # --- quality and operations --------------------------------------------------

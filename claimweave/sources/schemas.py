@@ -53,6 +53,11 @@ RAW_CLAIM_COLUMNS = [
 
 LINEAGE_COLUMNS = ["_ingestion_ts", "_source_file", "_job_run_id", "_ingest_date"]
 
+BRONZE_CLAIMS = _schema(
+    ", ".join(f"{c} string" for c in RAW_CLAIM_COLUMNS)
+    + ", _ingestion_ts timestamp, _source_file string, _job_run_id string, _ingest_date date"
+)
+
 MEMBERS = _schema(
     "member_id string, member_name string, gender string, date_of_birth date, "
     "insurance_plan_id string, policy_start_date date, policy_end_date date, state string"

@@ -12,8 +12,17 @@ FORMAT = "parquet"
 REFERENCE_LISTS = {"icd10": ICD10, "cpt": CPT, "plans": PLANS}
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame:
-    """A table by path; Parquet files with different columns are merged."""
+def read_table(
+    spark: SparkSession, path: str, schema: StructType | None = None, fmt: str = FORMAT
+) -> DataFrame:
+    """A table by path.
+
+    Without a schema the columns of all files are merged, which opens every
+    file's footer; with one, only the files that are scanned are opened, and
+    columns a file lacks are NULL.
+    """
+    if schema is not None:
+        return spark.read.schema(schema).format(fmt).load(path)
     return spark.read.option("mergeSchema", "true").format(fmt).load(path)
 
 
