@@ -44,17 +44,18 @@ _stored: dict[tuple[str, str, str], str] = {}
 class Lake:
     """The layers over one data directory.
 
-    Bronze, Silver and Gold are lazy. The star schema is stored, as it is in the
-    warehouse that its views and checks query.
+    Silver and the star schema are stored tables, as they are in a running
+    lake: the queries that follow them read the table instead of cleansing or
+    loading again. Everything else is lazy.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A table of the star schema, written once per application.
+        """A stored table, written once per application.
 
-        Stored tables have known sizes, by which joins are planned.
+        Its size is known, which is what joins are planned by.
         """
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key in _stored:
@@ -82,7 +83,15 @@ class Lake:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return self.cleansed()[0]
+        return self._table("silver_claims", lambda: self.cleansed()[0])
+
+    @cached_property
+    def silver_first(self) -> DataFrame:
+        return self._table("silver_first", lambda: self.cleansed(self.first_half)[0])
+
+    @cached_property
+    def silver_second(self) -> DataFrame:
+        return self._table("silver_second", lambda: self.cleansed(self.second_half)[0])
 
     @cached_property
     def quarantined(self) -> DataFrame:
@@ -227,13 +236,12 @@ def quarantine_report(lake: Lake) -> DataFrame:
 
 
 def claims_latest(lake: Lake) -> DataFrame:
-    return lake.silver.select(*CLAIM)
+    return lake.cleansed()[0].select(*CLAIM)
 
 
 def silver_upsert(lake: Lake) -> DataFrame:
-    target = lake.cleansed(lake.first_half)[0]
-    batch = lake.cleansed(lake.second_half)[0]
-    return merge.upsert(target, batch, ["claim_id"], null_safe=False).select(*CLAIM)
+    batch = lake.silver_second
+    return merge.upsert(lake.silver_first, batch, ["claim_id"], null_safe=False).select(*CLAIM)
 
 
 def silver_clustered(lake: Lake) -> DataFrame:
@@ -321,12 +329,9 @@ def gold_fact(lake: Lake) -> DataFrame:
 
 def gold_refresh(lake: Lake) -> DataFrame:
     """Gold of the first half, refreshed with the second half's claims only."""
-    first = lake.cleansed(lake.first_half)[0]
-    fact = gold.fact_columns(lake.enriched(first))
-    batch = lake.cleansed(lake.second_half)[0]
-    return without(
-        gold.refresh_gold(fact, batch, lake.patients, lake.providers), "_gold_updated_at"
-    )
+    fact = gold.fact_columns(lake.enriched(lake.silver_first))
+    fresh = gold.refresh_gold(fact, lake.silver_second, lake.patients, lake.providers)
+    return without(fresh, "_gold_updated_at")
 
 
 def risk_tier_counts(lake: Lake) -> DataFrame:
@@ -339,13 +344,14 @@ def risk_tier_counts(lake: Lake) -> DataFrame:
 
 
 def provider_kpi(lake: Lake) -> DataFrame:
-    return without(gold.provider_kpi(lake.enriched()), "last_refreshed")
+    """From raw claims in one plan: parse, validate, deduplicate, enrich, aggregate."""
+    claims = lake.cleansed()[0]
+    return without(gold.provider_kpi(lake.enriched(claims)), "last_refreshed")
 
 
 def kpi_upsert(lake: Lake) -> DataFrame:
     """KPIs of the first half, then merged with those that the second half's claims move."""
-    first = lake.cleansed(lake.first_half)[0]
-    batch = lake.cleansed(lake.second_half)[0]
+    first, batch = lake.silver_first, lake.silver_second
     merged = merge.upsert(first, batch, ["claim_id"], null_safe=False)
     before, changed = lake.enriched(first), lake.enriched(batch)
     replaced = merge.matching(before, batch, ["claim_id"])
@@ -414,10 +420,12 @@ def fact_load(lake: Lake) -> DataFrame:
 
 
 def fact_delete_insert(lake: Lake) -> DataFrame:
-    first = lake.staged(lake.cleansed(lake.first_half)[0])
-    second = lake.staged(lake.cleansed(lake.second_half)[0])
-    fact = lake.loaded(empty(lake.spark, FACT_CLAIMS), first)
-    return without(lake.loaded(fact, second), *FACT_STAMPS)
+    """The second half loaded over the fact table that holds the first."""
+    nothing = empty(lake.spark, FACT_CLAIMS)
+    fact = lake._table(
+        "first_half_fact", lambda: lake.loaded(nothing, lake.staged(lake.silver_first))
+    )
+    return without(lake.loaded(fact, lake.staged(lake.silver_second)), *FACT_STAMPS)
 
 
 def fact_as_of_version(lake: Lake) -> DataFrame:
