@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimweave.llm import bpe, packing
+from claimweave.llm import bpe, fingerprints, packing, quality, topk, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,13 +18,67 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scored = quality.score(docs, quality.fit(docs))
+    return scored.withColumn("keep", (F.col("score") >= 0.5).cast("int"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels.filter(toxicity.learnable(F.col("doc_id"))))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        (~toxicity.learnable(F.col("doc_id"))).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, 5)
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(documents(spark, sf_dir))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir))
 
 
+QUERIES = (
+    op3_packing,
+    op6_quality,
+    op7_toxicity,
+    op8_topk,
+    op9_fingerprints,
+    op10_bpe,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_packing, op10_bpe)}
+    return {f.__name__: f for f in QUERIES}
+
+
+OP8 = """
+WITH v AS (
+  SELECT vec_id, embedding AS e, vec_id % 50 = 0 AS asks
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), w AS (
+  SELECT vec_id, asks, list_transform(e, lambda x: floor(256 * x::DOUBLE)) AS e FROM v
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM w q JOIN w c ON q.asks AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_topk": OP8}

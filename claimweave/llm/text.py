@@ -49,7 +49,7 @@ def texts(column: pa.Array | pa.ChunkedArray) -> Texts:
     return Texts(data[offsets[0] : offsets[-1]], offsets - offsets[0])
 
 
-def pieces(batch: pa.RecordBatch | pa.Table, name: str = "text") -> Iterator[tuple[pa.Table, Texts]]:
+def pieces(batch: pa.RecordBatch, name: str = "text") -> Iterator[tuple[pa.RecordBatch, Texts]]:
     """The rows of a batch in runs of about PIECE bytes, with their texts."""
     every = texts(batch.column(name))
     at = 0
@@ -62,10 +62,10 @@ def pieces(batch: pa.RecordBatch | pa.Table, name: str = "text") -> Iterator[tup
 
 
 class Words:
-    """Maximal runs of non-space bytes: starts, ends, and each document's first word."""
+    """Maximal runs of bytes other than white space, or of a given set: starts, ends, each document's first."""
 
-    def __init__(self, t: Texts):
-        ink = ~SPACE[t.data]
+    def __init__(self, t: Texts, letters: np.ndarray | None = None):
+        ink = ~SPACE[t.data] if letters is None else letters[t.data]
         edge = np.zeros(len(ink) + 1, bool)
         edge[t.offsets] = True
         opens = ink.copy()
