@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import bpe, fingerprints, packing, quality, substring_dedup, topk, toxicity
+from claimweave.llm import bpe, fingerprints, packing, quality, substring_dedup, suffix_dedup, topk, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,17 @@ def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.find(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "row.doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -54,6 +65,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (
     op1_substring,
+    op2_suffix,
     op3_packing,
     op6_quality,
     op7_toxicity,
