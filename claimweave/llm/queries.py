@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import bpe, fingerprints, packing, quality, substring_dedup, suffix_dedup, topk, toxicity
+from claimweave.llm import bpe, fingerprints, lm, packing, quality, substring_dedup, suffix_dedup, topk, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     scored = quality.score(docs, quality.fit(docs))
@@ -67,6 +71,7 @@ QUERIES = (
     op1_substring,
     op2_suffix,
     op3_packing,
+    op4_lm,
     op6_quality,
     op7_toxicity,
     op8_topk,
