@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimweave.llm import bpe, fingerprints, lm, packing, quality, substring_dedup, suffix_dedup, topk, toxicity
+from claimweave.llm import bpe, fingerprints, jaccard_join, lm, packing, quality, substring_dedup, suffix_dedup, topk, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir))
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(documents(spark, sf_dir))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     scored = quality.score(docs, quality.fit(docs))
@@ -72,6 +76,7 @@ QUERIES = (
     op2_suffix,
     op3_packing,
     op4_lm,
+    op5_jaccard,
     op6_quality,
     op7_toxicity,
     op8_topk,
