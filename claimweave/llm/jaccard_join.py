@@ -263,6 +263,17 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
 
 def link(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
+    named = _named(docs, size, percent)
+    least = named.filter(F.col("n") > 0).groupBy("label").agg(F.min("doc_id").alias("least"))
+    return named.join(least, "label", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
+
+
+def _named(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, text_id, set_id, n and the component's label of every row; a table in the shared folder."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("text_id", F.xxhash64("text"))
     census, counts = _census(docs, size)
@@ -324,12 +335,26 @@ def link(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame
             links = found if links is None else links.union(found)
             labels = components(nodes, links)
     named = census.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-    least = named.filter(F.col("n") > 0).groupBy("label").agg(F.min("doc_id").alias("least"))
-    return named.join(least, "label", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+    return stored(named, "named")
+
+
+def first_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs`, all columns, that come first in their component: one row for each.
+
+    First is the smallest doc_id, rows without one last, then the text's hash. Rows without words
+    are linked with nothing and all stay, but of rows with equal doc_id and text one stays.
+    """
+    named = _named(docs, size, percent).filter(F.col("n") > 0)
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_id")
+    first = named.groupBy("label").agg(F.min(row).alias("first"))
+    other = ~F.col("doc_id").eqNullSafe(F.col("first.doc_id")) | (F.col("text_id") != F.col("first.text_id"))
+    gone = named.join(first, "label").filter(other).select("doc_id", "text_id").distinct()
+    own_text = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    rows = docs.join(
+        gone, docs["doc_id"].cast("long").eqNullSafe(gone["doc_id"]) & (own_text == gone["text_id"]), "left_anti"
     )
+    repeated = named.groupBy("doc_id", "text_id").count().filter(F.col("count") > 1)
+    return rows if repeated.isEmpty() else rows.dropDuplicates(["doc_id", "text"])
 
 
 def _may_link(n, other, percent: int):

@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from claimweave.llm.blocks import Blocks, answered, buckets, packed, unpacked
 from claimweave.llm.repeats import (
@@ -232,3 +233,21 @@ def find(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         f"row {blocks.row_type}, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
     )
     return blocks.finish(second, keep, schema)
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The rows of `docs`, all columns, with the repeated bytes taken out of `text`.
+
+    Where a removed run begins or ends inside a character, the rest of that character goes too. Rows
+    stay, even if nothing of their text does; a null text becomes empty.
+    """
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = pa.array([b.decode(errors="ignore") for b in batch.column("kept").to_pylist()], pa.string())
+            yield pa.record_batch([batch.column("row"), kept], ["row", "kept"])
+
+    found = find(docs, length)
+    text = found.select("row", "kept").mapInArrow(decode, f"row {dict(found.dtypes)['row']}, kept string")
+    columns = [F.col("kept").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return text.select(*columns)
