@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from claimweave.functions.columns import AsOf, age_band, any_changed, as_date, date_sk
 from claimweave.operators.dedup import latest_per_key
+from claimweave.operators import merge
 from claimweave.operators.merge import new_keys
 from claimweave.sources.schemas import DIM_PATIENT, DIM_PLAN, DIM_PROVIDER, conform
 
@@ -171,12 +172,19 @@ def load_providers(dim: DataFrame, providers: DataFrame, as_of: AsOf = None) ->
 # --- plans and calendar ------------------------------------------------------
 
 
-def load_plans(catalogue: DataFrame) -> DataFrame:
-    """Plan catalogue to dimension rows; inactive plans stay, flagged."""
-    plans = latest_per_key(catalogue, ["plan_id"], [])
+def load_plans(dim: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """The plan dimension after a catalogue: plans keep their keys, and plans that it lacks stay.
+
+    Attributes are overwritten. A new plan is numbered above the highest key. Inactive plans stay,
+    flagged.
+    """
+    plans = conform(latest_per_key(catalogue, ["plan_id"], []), DIM_PLAN)
+    held = dim.select("plan_id", F.col("plan_sk").alias("_sk"))
+    listed = plans.drop("plan_sk").join(held, "plan_id", "left").withColumnRenamed("_sk", "plan_sk")
+    absent = merge.without_keys(dim, plans, ["plan_id"])
+    keyed = assign_sk(listed, "plan_id", "plan_sk", highest_key(dim, "plan_sk"), keep=True)
     stamps = {"_dw_inserted_at": F.current_timestamp()}
-    rows = conform(plans, DIM_PLAN, stamps)
-    return assign_sk(rows, "plan_id", "plan_sk", F.lit(0).cast("bigint"))
+    return conform(keyed, DIM_PLAN, stamps).unionByName(absent)
 
 
 def calendar(

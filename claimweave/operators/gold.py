@@ -15,7 +15,7 @@ from claimweave.functions.columns import (
     risk_tier,
 )
 from claimweave.operators.lookup import lookup
-from claimweave.operators.merge import upsert
+from claimweave.operators.merge import upsert, without_keys
 
 
 def current_rows(dim: DataFrame) -> DataFrame:
@@ -97,20 +97,30 @@ def provider_kpi(enriched: DataFrame) -> DataFrame:
     )
 
 
-def kpi_upsert(target: DataFrame | None, fresh: DataFrame) -> DataFrame:
-    return upsert(target, fresh, ["provider_sk"], null_safe=True)
+def kpi_replace(target: DataFrame, touched: DataFrame, fresh: DataFrame) -> DataFrame:
+    """KPIs with those of all `touched` providers (provider_sk) taken out and the fresh ones put in.
+
+    A provider that has lost all its claims is touched and has no fresh row.
+    """
+    return without_keys(target, touched, ["provider_sk"], null_safe=True).unionByName(fresh)
 
 
-def touched_providers(enriched: DataFrame, *changes: DataFrame) -> DataFrame:
-    """All claims of the providers whose KPIs a change may move.
+def touched_providers(*changes: DataFrame) -> DataFrame:
+    """The keys of the providers whose KPIs a change may move, -1 for unknown providers.
 
     Pass the new rows and the rows they replace: a claim that moves between
     providers changes both.
     """
-    keys = [c.select(F.col("provider_sk").alias("_touched")) for c in changes]
-    touched = reduce(DataFrame.union, keys).distinct()
-    same = F.col("provider_sk").eqNullSafe(F.col("_touched"))
-    return enriched.join(touched, same, "left_semi")
+    key = F.coalesce("provider_sk", F.lit(UNRESOLVED).cast("bigint")).alias("provider_sk")
+    return reduce(DataFrame.union, [c.select(key) for c in changes]).distinct()
+
+
+def kpi_of(fact: DataFrame, providers: DataFrame, touched: DataFrame) -> DataFrame:
+    """KPIs of the touched providers from stored Gold rows, which hold the provider's key already."""
+    key = F.coalesce("provider_sk", F.lit(UNRESOLVED).cast("bigint"))
+    rows = fact.join(touched.select(F.col("provider_sk").alias("_touched")), key == F.col("_touched"), "left_semi")
+    doctors = current_rows(providers).select("provider_sk", "specialization", "state")
+    return provider_kpi(lookup(rows, doctors, "provider_sk", ["claim_id"]))
 
 
 def refresh_gold(

@@ -5,58 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001  # a key with more than this share of the rows is hot: at most 1000 keys
 SALTS = 256
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(spark) -> int:
-    """The session's automatic broadcast threshold in bytes; below zero when switched off."""
-    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    digits = text.rstrip("bkmgt")
-    unit = text[len(digits):].rstrip("b") or "b"
-    return int(digits) * 1024 ** "bkmgt".index(unit)
-
-
-def hot_keys(df: DataFrame, key: str, hot_share: float = HOT_SHARE) -> list:
-    """Keys (None included) that hold more than `hot_share` of the rows.
-
-    One pass over the key column; the result has at most 1 / hot_share entries.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_n")).scalar()
-    return [row[key] for row in counts.filter(F.col("_n") > total * hot_share).collect()]
-
-
 def lookup(
-    facts: DataFrame,
-    dim: DataFrame,
-    key: str,
-    spread_by: list[str],
-    how: str = "left",
-    salts: int = SALTS,
+    facts: DataFrame, dim: DataFrame, key: str, spread_by: list[str], how: str = "left"
 ) -> DataFrame:
     """Join `facts` to `dim` (one row per `key`) without overloading any task.
 
-    A dimension whose estimated size is under the session's broadcast threshold
-    is joined map-side by Spark, so hot keys do not matter. A larger one is
-    joined by shuffle. If some key (or NULL) is hot, its rows are spread over
-    `salts` buckets chosen by hashing `spread_by`, and the dimension rows of
-    those keys, at most 1 / HOT_SHARE of them, are repeated per bucket.
+    Nothing runs while the plan is built. Spark joins a dimension under its broadcast threshold
+    map-side, whatever the keys are. A larger one is shuffled: rows with a NULL key, which match
+    nothing, are spread over SALTS buckets by hashing `spread_by`, and a key that holds many rows
+    is cut by adaptive execution's skew join, which repeats its one dimension row.
     """
-    if estimated_bytes(dim) <= broadcast_limit(facts.sparkSession):
-        return facts.join(dim, key, how)
-    hot = hot_keys(facts, key)
-    if not hot:
-        return facts.join(dim, key, how)
-    named = F.col(key).isin([k for k in hot if k is not None])
-    spread = named | F.col(key).isNull()  # a NULL key matches nothing: any bucket will do
-    bucket = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    salted_facts = facts.withColumn("_salt", F.when(spread, bucket).otherwise(F.lit(0)))
-    copies = F.when(named, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_dim = dim.withColumn("_salt", F.explode(copies))
-    return salted_facts.join(salted_dim, [key, "_salt"], how).drop("_salt")
+    bucket = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
+    spread = facts.withColumn("_salt", F.when(F.col(key).isNull(), bucket).otherwise(F.lit(0)))
+    return spread.join(dim.withColumn("_salt", F.lit(0)), [key, "_salt"], how).drop("_salt")

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 AS_OF = "2001-01-01"
 FIRST_LOAD = "2000-01-01"
 SPLIT = "1999-01-01"  # ingestion date that separates the first load from the second
-FIRST_DAY, LAST_DAY = "1995-01-01", "2001-12-31"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,8 +44,13 @@ def bronze_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(
             F.col("l_quantity") != 1, F.concat_ws("-", "l_orderkey", "l_linenumber")
         ).alias("claim_id"),
-        F.col("o_custkey").cast("string").alias("member_id"),
-        F.col("l_suppkey").cast("string").alias("provider_id"),
+        # claims with a mistyped id, which no member or provider has
+        F.when(F.col("l_quantity") == 50, F.concat(F.lit("X"), "o_custkey"))
+        .otherwise(F.col("o_custkey").cast("string"))
+        .alias("member_id"),
+        F.when(F.col("l_quantity") == 49, F.concat(F.lit("X"), "l_suppkey"))
+        .otherwise(F.col("l_suppkey").cast("string"))
+        .alias("provider_id"),
         _text_date(F.col("o_orderdate")).alias("claim_date"),
         _text_date(F.col("o_orderdate")).alias("admission_date"),
         _text_date(F.col("l_shipdate")).alias("discharge_date"),
@@ -73,16 +77,14 @@ def members(spark: SparkSession, sf_dir: str, second: bool = False) -> DataFrame
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     key = F.col("c_custkey")
     people = (
-        table(spark, sf_dir, "customer")
-        .filter(F.col("c_acctbal") > 0)
-        .join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))
+        table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     )
     plan, policy_end = F.col("c_mktsegment"), F.lit(None).cast("date")
     if second:
         plan = F.when(key % 10 == 0, "BUILDING").otherwise(plan)
         policy_end = F.when(key % 10 == 1, F.lit("2002-12-31").cast("date"))
-    else:
-        people = people.filter(key % 7 != 0)
+    else:  # members whose balance is negative joined later
+        people = people.filter(F.col("c_acctbal") >= 0)
     born = F.make_date((F.lit(1930) + key % 80).cast("int"), F.lit(1), F.lit(1))
     return people.select(
         key.cast("string").alias("member_id"),
@@ -100,17 +102,15 @@ def providers(spark: SparkSession, sf_dir: str, second: bool = False) -> DataFra
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     key = F.col("s_suppkey")
     doctors = (
-        table(spark, sf_dir, "supplier")
-        .filter(F.col("s_acctbal") > 0)
-        .join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey"))
+        table(spark, sf_dir, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
     )
     network = key % 2
     city = F.concat(F.lit("City "), (key % 10).cast("string"))
     if second:
         network = F.when(key % 5 == 0, 1 - network).otherwise(network)
         city = F.when(key % 3 == 0, "Moved").otherwise(city)
-    else:
-        doctors = doctors.filter(key % 7 != 0)
+    else:  # providers whose balance is negative joined later
+        doctors = doctors.filter(F.col("s_acctbal") >= 0)
     return doctors.select(
         key.cast("string").alias("provider_id"),
         F.col("s_name").alias("provider_name"),
@@ -123,11 +123,17 @@ def providers(spark: SparkSession, sf_dir: str, second: bool = False) -> DataFra
     )
 
 
-def plan_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One plan per market segment; the plan named MACHINERY is inactive."""
-    segments = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+def plan_catalogue(spark: SparkSession, sf_dir: str, first: bool = False) -> DataFrame:
+    """One plan per market segment; the plan named MACHINERY is inactive.
+
+    The first catalogue lacks BUILDING, has a plan LEGACY that the second one
+    lacks, and counts members of the first load only.
+    """
+    customers = table(spark, sf_dir, "customer")
+    if first:
+        renamed = F.when(F.col("c_mktsegment") == "BUILDING", "LEGACY").otherwise(F.col("c_mktsegment"))
+        customers = customers.filter(F.col("c_acctbal") >= 0).withColumn("c_mktsegment", renamed)
+    segments = customers.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
     return segments.select(
         F.col("c_mktsegment").alias("plan_id"),
         F.concat(F.lit("Plan "), F.initcap("c_mktsegment")).alias("plan_name"),

@@ -102,7 +102,7 @@ def _kpi(enriched: str) -> str:
 
 
 def _members(second: bool) -> str:
-    plan, policy_end, subset = "c_mktsegment", "NULL::DATE", "AND c_custkey % 7 <> 0"
+    plan, policy_end, subset = "c_mktsegment", "NULL::DATE", "WHERE c_acctbal >= 0"
     if second:
         plan = "CASE WHEN c_custkey % 10 = 0 THEN 'BUILDING' ELSE c_mktsegment END"
         policy_end = "CASE WHEN c_custkey % 10 = 1 THEN DATE '2002-12-31' END"
@@ -115,11 +115,11 @@ def _members(second: bool) -> str:
                {plan} AS insurance_plan_id, DATE '1995-01-01' AS policy_start_date,
                {policy_end} AS policy_end_date, n_name AS state
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-        WHERE c_acctbal > 0 {subset}"""
+        {subset}"""
 
 
 def _providers(second: bool) -> str:
-    network, city, subset = "s_suppkey % 2", "'City ' || s_suppkey % 10", "AND s_suppkey % 7 <> 0"
+    network, city, subset = "s_suppkey % 2", "'City ' || s_suppkey % 10", "WHERE s_acctbal >= 0"
     if second:
         network = "CASE WHEN s_suppkey % 5 = 0 THEN 1 - s_suppkey % 2 ELSE s_suppkey % 2 END"
         city = "CASE WHEN s_suppkey % 3 = 0 THEN 'Moved' ELSE 'City ' || s_suppkey % 10 END"
@@ -135,7 +135,16 @@ def _providers(second: bool) -> str:
                CASE WHEN {network} = 0 THEN 'IN_NETWORK' ELSE 'OUT_OF_NETWORK' END
                    AS network_status
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
-        WHERE s_acctbal > 0 {subset}"""
+        {subset}"""
+
+
+def _plans(segment: str, subset: str) -> str:
+    return f"""
+        SELECT plan_id, 'Plan ' || upper(plan_id[1]) || lower(plan_id[2:]) AS plan_name,
+               CASE WHEN length(plan_id) % 2 = 0 THEN 'HMO' ELSE 'PPO' END AS plan_type,
+               count(*)::DECIMAL(10,2) AS deductible_amount,
+               (count(*) * 2)::DECIMAL(10,2) AS oop_max, plan_id <> 'MACHINERY' AS is_active
+        FROM (SELECT {segment} AS plan_id FROM customer WHERE {subset}) GROUP BY plan_id"""
 
 
 def _band(as_of: str) -> str:
@@ -170,7 +179,9 @@ def _reason(as_of: str) -> str:
 _STEPS = {
     "typed": f"""
         SELECT CASE WHEN l_quantity <> 1 THEN l_orderkey || '-' || l_linenumber END AS claim_id,
-               o_custkey::VARCHAR AS member_id, l_suppkey::VARCHAR AS provider_id,
+               CASE WHEN l_quantity = 50 THEN 'X' || o_custkey ELSE o_custkey::VARCHAR END AS member_id,
+               CASE WHEN l_quantity = 49 THEN 'X' || l_suppkey ELSE l_suppkey::VARCHAR END
+                   AS provider_id,
                o_orderdate::DATE AS claim_date, o_orderdate::DATE AS admission_date,
                l_shipdate::DATE AS discharge_date,
                CASE WHEN l_discount = 0.1 THEN NULL WHEN l_tax = 0.08 THEN -{_AMOUNT}
@@ -230,15 +241,15 @@ _STEPS = {
         SELECT {_sk('provider_id', above='(SELECT max(provider_sk) FROM provider_1)')}, *,
                true, DATE '2001-01-01', NULL
         FROM providers_2 WHERE provider_id NOT IN (SELECT provider_id FROM provider_1)""",
+    "plans_1": _plans("CASE c_mktsegment WHEN 'BUILDING' THEN 'LEGACY' ELSE c_mktsegment END", "c_acctbal >= 0"),
+    "plans_2": _plans("c_mktsegment", "true"),
+    "plan_1": f"SELECT {_sk('plan_id')} AS plan_sk, * FROM plans_1",
     "dim_plan": f"""
-        SELECT {_sk('plan_id')} AS plan_sk, * FROM (
-            SELECT c_mktsegment AS plan_id,
-                   'Plan ' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) AS plan_name,
-                   CASE WHEN length(c_mktsegment) % 2 = 0 THEN 'HMO' ELSE 'PPO' END AS plan_type,
-                   count(*)::DECIMAL(10,2) AS deductible_amount,
-                   (count(*) * 2)::DECIMAL(10,2) AS oop_max,
-                   c_mktsegment <> 'MACHINERY' AS is_active
-            FROM customer GROUP BY c_mktsegment)""",
+        SELECT o.plan_sk, n.* FROM plan_1 o JOIN plans_2 n ON o.plan_id = n.plan_id
+        UNION ALL SELECT * FROM plan_1 WHERE plan_id NOT IN (SELECT plan_id FROM plans_2)
+        UNION ALL
+        SELECT {_sk('plan_id', above='(SELECT max(plan_sk) FROM plan_1)')}, * FROM plans_2
+        WHERE plan_id NOT IN (SELECT plan_id FROM plan_1)""",
     "enriched": _enriched("silver"),
     "enriched_1": _enriched("silver_1"),
     "enriched_2": _enriched("silver_2"),
@@ -373,7 +384,10 @@ _STATEMENTS = {
     # Dropping a day and rerunning it restores Silver.
     "reprocess_day": f"SELECT {_CLAIM} FROM silver",
     "bronze_stream_count": """
-        SELECT ts::DATE AS day, event_type, count(*) AS row_count FROM events GROUP BY 1, 2""",
+        SELECT ts::DATE AS day, event_type,
+               CASE WHEN event_id % 3 = 2 THEN 'r2' ELSE 'r1' END AS _job_run_id,
+               event_id % 3 = 0 AS compressed, count(*) AS row_count
+        FROM events GROUP BY 1, 2, 3, 4""",
     "reference_codes": """
         SELECT lpad(p_size::VARCHAR, 5, '0') AS cpt_code, max(p_name) AS description,
                max(p_type) AS category, max(p_retailprice)::DECIMAL(10,2) AS avg_reimbursement,
@@ -388,15 +402,7 @@ _STATEMENTS = {
         FROM good GROUP BY 1""",
     "provider_kpi": _kpi("enriched"),
     "kpi_upsert": f"""
-        WITH fresh AS (
-            SELECT * FROM ({_kpi('enriched_12')})
-            WHERE provider_sk IN (
-                SELECT coalesce(provider_sk, -1) FROM enriched_2 UNION ALL
-                SELECT coalesce(provider_sk, -1) FROM enriched_1
-                WHERE claim_id IN (SELECT claim_id FROM silver_2)))
-        SELECT * FROM fresh UNION ALL
-        SELECT * FROM ({_kpi('enriched_1')})
-        WHERE provider_sk NOT IN (SELECT provider_sk FROM fresh)""",
+        SELECT * FROM ({_kpi('enriched_12')})""",
     "scd2_patient": "SELECT * FROM dim_patient",
     "scd1_provider": "SELECT * FROM dim_provider",
     "plan_dim": "SELECT * FROM dim_plan",
@@ -414,7 +420,7 @@ _STATEMENTS = {
                   INTERVAL 1 DAY)) AS d)""",
     "age_band_counts": f"""
         SELECT {_band('2001-01-01')} AS age_band, count(*) AS members FROM members_2 GROUP BY 1""",
-    "surrogate_keys": "SELECT member_id, patient_sk FROM patient_1",
+    "surrogate_keys": f"SELECT member_id, {_sk('member_id')} AS patient_sk FROM members_2",
     "new_members": """
         SELECT member_id, member_name, state FROM members_2
         WHERE member_id NOT IN (SELECT member_id FROM members_1)""",

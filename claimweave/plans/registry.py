@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +20,13 @@ from claimweave.operators import (
     views,
     warehouse,
 )
-from claimweave.operators.dedup import latest_per_key
 from claimweave.plans import driver_tables as src
-from claimweave.plans.driver_tables import AS_OF, FIRST_DAY, FIRST_LOAD, LAST_DAY, SPLIT
+from claimweave.plans.driver_tables import AS_OF, FIRST_LOAD, SPLIT
 from claimweave.sources import control, tables
 from claimweave.sources.schemas import (
     DIM_PATIENT,
     DIM_PROVIDER,
+    DIM_PLAN,
     FACT_CLAIMS,
     empty,
 )
@@ -38,35 +37,24 @@ REPLAY_AS_OF = "2001-06-01"
 REPROCESSED_DAY = "1998-06-15"
 AUDIT_DAY = "2024-01-25"
 
-_stored: dict[tuple[str, str, str], str] = {}
-
 
 class Lake:
     """The layers over one data directory.
 
     Silver and the star schema are stored tables, as they are in a running
-    lake: the queries that follow them read the table instead of cleansing or
-    loading again. Everything else is lazy.
+    lake. Each lake stores its own, so every registered query starts from the
+    given tables. Everything else is lazy.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def _table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """A stored table, written once per application.
-
-        Its size is known, which is what joins are planned by.
-        """
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key in _stored:
-            try:
-                return self.spark.read.parquet(_stored[key])
-            except AnalysisException:
-                pass  # the folder was cleared meanwhile
-        path = scratch_dir(self.spark, name)
-        tables.overwrite(build(), path)
-        _stored[key] = path
-        return self.spark.read.parquet(path)
+        """A stored table. Its size is known, which is what joins are planned by."""
+        if name not in self._tables:
+            self._tables[name] = tables.written(build(), name)
+        return self._tables[name]
 
     # Bronze and Silver
 
@@ -140,13 +128,27 @@ class Lake:
 
     @cached_property
     def plans(self) -> DataFrame:
-        return self._table(
-            "dim_plan", lambda: dimensions.load_plans(src.plan_catalogue(self.spark, self.sf_dir))
+        return self._table("dim_plan", self.plans_after_two)
+
+    def plans_after_two(self) -> DataFrame:
+        nothing = empty(self.spark, DIM_PLAN)
+        first = tables.written(
+            dimensions.load_plans(nothing, src.plan_catalogue(self.spark, self.sf_dir, True)), "dim_plan_1"
+        )
+        return dimensions.load_plans(first, src.plan_catalogue(self.spark, self.sf_dir))
+
+    @property
+    def days(self) -> DataFrame:
+        """The first and the last day that a claim can have."""
+        orders = src.table(self.spark, self.sf_dir, "orders")
+        return orders.agg(
+            F.min("o_orderdate").cast("date").alias("first_day"),
+            F.max("o_orderdate").cast("date").alias("last_day"),
         )
 
     @cached_property
     def dates(self) -> DataFrame:
-        return dimensions.calendar(self.spark, FIRST_DAY, LAST_DAY)
+        return dimensions.calendar_between(self.days)
 
     # Gold and warehouse
 
@@ -285,15 +287,28 @@ def reprocess_day(lake: Lake) -> DataFrame:
 
 
 def bronze_stream_count(lake: Lake) -> DataFrame:
-    """Events written as a CSV drop, streamed into Bronze and counted per day and type."""
-    drop = scratch_dir(lake.spark, "drop")
-    land = scratch_dir(lake.spark, "bronze")
-    events = src.table(lake.spark, lake.sf_dir, "events")
-    events.select("event_id", "ts", "event_type").write.option("header", True).csv(drop)
-    ingest_bronze(lake.spark, drop, land, f"{land}-checkpoint", "check")
+    """Events as CSV drops, streamed into Bronze and counted per day, type, run and kind of file.
+
+    Two layouts, one compressed and in a folder whose name looks like a glob; then a third drop that
+    arrives under a renewed checkpoint.
+    """
+    drop, land = scratch_dir(lake.spark, "drop"), scratch_dir(lake.spark, "bronze")
+    events = src.table(lake.spark, lake.sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    part = F.col("event_id") % 3
+    write = {"header": True}
+    events.filter(part == 0).drop("value").write.options(**write, compression="gzip").csv(f"{drop}/1/day[1]")
+    events.filter(part == 1).select("value", "event_type", "ts").write.options(**write).csv(f"{drop}/1/plain")
+    events.filter(part == 2).write.options(**write).csv(f"{drop}/2")
+    ingest_bronze(lake.spark, f"{drop}/1", land, f"{land}-checkpoint-1", "r1")
+    ingest_bronze(lake.spark, f"{drop}/2", land, f"{land}-checkpoint-2", "r2")
     return (
         read_bronze(lake.spark, land)
-        .groupBy(F.col("ts").cast("timestamp").cast("date").alias("day"), "event_type")
+        .groupBy(
+            F.col("ts").cast("timestamp").cast("date").alias("day"),
+            "event_type",
+            "_job_run_id",
+            F.endswith("_source_file", F.lit(".csv.gz")).alias("compressed"),
+        )
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
 
@@ -350,13 +365,16 @@ def provider_kpi(lake: Lake) -> DataFrame:
 
 
 def kpi_upsert(lake: Lake) -> DataFrame:
-    """KPIs of the first half, then merged with those that the second half's claims move."""
-    first, batch = lake.silver_first, lake.silver_second
-    merged = merge.upsert(first, batch, ["claim_id"], null_safe=False)
-    before, changed = lake.enriched(first), lake.enriched(batch)
-    replaced = merge.matching(before, batch, ["claim_id"])
-    fresh = gold.provider_kpi(gold.touched_providers(lake.enriched(merged), changed, replaced))
-    return without(gold.kpi_upsert(gold.provider_kpi(before), fresh), "last_refreshed")
+    """KPIs of the first half, then those that the second half's claims move, from stored Gold."""
+    fact = lake._table("gold_first", lambda: gold.fact_columns(lake.enriched(lake.silver_first)))
+    batch = lake._table("gold_batch", lambda: gold.fact_columns(lake.enriched(lake.silver_second)))
+    everyone = gold.touched_providers(fact)
+    touched = gold.touched_providers(batch, merge.matching(fact, batch, ["claim_id"]))
+    merged = merge.upsert(fact, batch, ["claim_id"], null_safe=False)
+    old = gold.kpi_of(fact, lake.providers, everyone)
+    return without(
+        gold.kpi_replace(old, touched, gold.kpi_of(merged, lake.providers, touched)), "last_refreshed"
+    )
 
 
 # --- dimensions --------------------------------------------------------------
@@ -371,18 +389,13 @@ def scd1_provider(lake: Lake) -> DataFrame:
 
 
 def plan_dim(lake: Lake) -> DataFrame:
-    plans = dimensions.load_plans(src.plan_catalogue(lake.spark, lake.sf_dir))
-    return without(plans, "_dw_inserted_at")
+    """After two catalogues: kept, changed, new and absent plans."""
+    return without(lake.plans_after_two(), "_dw_inserted_at")
 
 
 def calendar_dim(lake: Lake) -> DataFrame:
     """The calendar over the order dates, with a fiscal year from October and a holiday."""
-    orders = src.table(lake.spark, lake.sf_dir, "orders")
-    bounds = orders.agg(
-        F.min("o_orderdate").cast("date").alias("first_day"),
-        F.max("o_orderdate").cast("date").alias("last_day"),
-    )
-    return dimensions.calendar_between(bounds, 10, ["1998-12-25"])
+    return dimensions.calendar_between(lake.days, 10, ["1998-12-25"])
 
 
 def age_band_counts(lake: Lake) -> DataFrame:
@@ -392,7 +405,10 @@ def age_band_counts(lake: Lake) -> DataFrame:
 
 
 def surrogate_keys(lake: Lake) -> DataFrame:
-    return lake.patients_after(1).select("member_id", "patient_sk")
+    """One load of all members into an empty dimension."""
+    everyone = src.members(lake.spark, lake.sf_dir, True)
+    dim = dimensions.load_patients(empty(lake.spark, DIM_PATIENT), everyone, FIRST_LOAD)
+    return dim.select("member_id", "patient_sk")
 
 
 def new_members(lake: Lake) -> DataFrame:

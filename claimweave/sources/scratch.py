@@ -9,11 +9,17 @@ from pyspark.sql import SparkSession
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path under the session's shared checkpoint folder.
+    """A fresh path under the session's shared folder, spark.checkpoint.dir.
 
-    Only a session that names no such folder (a local test) gets a temporary one.
+    A session that names none may only run on one machine (a local master): it gets a temporary
+    folder, which is set as its shared folder. On a cluster that is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     shared = shared or spark.sparkContext.getCheckpointDir()
-    shared = shared or tempfile.mkdtemp(prefix="claimweave-")
+    if not shared:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="claimweave-")
+        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

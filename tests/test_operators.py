@@ -12,6 +12,7 @@ from claimweave.sources import audit, control
 from claimweave.sources.tables import written
 from claimweave.sources.schemas import (
     DIM_PATIENT,
+    DIM_PLAN,
     DIM_PROVIDER,
     FACT_CLAIMS,
     MEMBERS,
@@ -52,7 +53,7 @@ def test_upsert_twice_equals_upsert_once(spark):
 
 def test_null_key_is_merged_not_repeated(spark):
     kpi = spark.createDataFrame([(None, 1), (1, 2)], "provider_sk bigint, v int")
-    assert len(rows(gold.kpi_upsert(gold.kpi_upsert(kpi, kpi), kpi), "provider_sk", "v")) == 2
+    assert len(rows(merge.upsert(merge.upsert(kpi, kpi, ["provider_sk"]), kpi, ["provider_sk"]), "provider_sk", "v")) == 2
 
 
 def test_delete_insert_keeps_one_row_per_claim(spark):
@@ -236,7 +237,7 @@ def star(spark):
     )
     patients = settle(dimensions.load_patients(empty(spark, DIM_PATIENT), members, "2024-01-01"))
     providers = settle(dimensions.load_providers(empty(spark, DIM_PROVIDER), doctors, "2024-01-01"))
-    return patients, providers, settle(dimensions.load_plans(plans))
+    return patients, providers, settle(dimensions.load_plans(empty(spark, DIM_PLAN), plans))
 
 
 CLAIMS = (
@@ -278,6 +279,42 @@ def test_fact_resolves_keys_and_keeps_claim_keys(spark, star):
     )
 
 
+def test_plans_keep_their_keys(spark):
+    schema = "plan_id string, plan_name string, plan_type string, deductible_amount decimal(10,2), oop_max decimal(10,2), is_active int"
+    first = spark.createDataFrame([(f"P{i}", "x", "HMO", None, None, 1) for i in range(40)], schema)
+    dim = settle(dimensions.load_plans(empty(spark, DIM_PLAN), first))
+    second = spark.createDataFrame([(f"P{i}", "y", "HMO", None, None, 1) for i in range(1, 45)], schema)
+    later = {r.plan_id: r for r in dimensions.load_plans(dim, second).collect()}
+    for row in dim.collect():
+        assert later[row.plan_id].plan_sk == row.plan_sk
+    assert len(later) == 45 and later["P0"].plan_name == "x" and later["P1"].plan_name == "y"
+    assert len({r.plan_sk for r in later.values()}) == 45
+
+
+def test_valid_exactly_where_no_reason_is_given(spark):
+    from claimweave.functions.columns import reject_reason, valid_mask
+
+    claims = [("a", Decimal(1), DAY(2024, 1, 1)), (None, None, None), ("a", None, DAY(2024, 1, 1)),
+              ("a", Decimal(-1), None), ("a", Decimal(0), None), ("a", Decimal(0), DAY(2030, 1, 1))]
+    df = spark.createDataFrame(claims, "claim_id string, claim_amount decimal(18,2), claim_date date")
+    judged = df.select(reject_reason("2024-06-01").alias("why"), valid_mask("2024-06-01").alias("ok")).collect()
+    assert [r.why for r in judged] == [
+        None, "null_claim_id", "null_amount", "negative_amount", "null_claim_date", "future_claim_date",
+    ]
+    assert [r.ok for r in judged] == [True] + [False] * 5
+
+
+def test_kpis_of_a_provider_without_claims_vanish(spark, star):
+    patients, providers, _ = star
+    fact = settle(gold.build_fact(spark.createDataFrame([claim("a"), claim("b", p="x")], CLAIMS), patients, providers))
+    batch = settle(gold.build_fact(spark.createDataFrame([claim("b", p="p2")], CLAIMS), patients, providers))
+    old = gold.kpi_of(fact, providers, gold.touched_providers(fact))
+    touched = gold.touched_providers(batch, merge.matching(fact, batch, ["claim_id"]))
+    merged = merge.upsert(fact, batch, ["claim_id"], null_safe=False)
+    new = gold.kpi_replace(old, touched, gold.kpi_of(merged, providers, touched))
+    assert rows(new, "provider_id", "total_claims") == [("p1", 1), ("p2", 1)]
+
+
 def test_version_valid_on_the_claim_date(spark, star):
     patients, providers, plans = star
     moved = spark.createDataFrame([member("m1", plan="P9")], MEMBERS)
