@@ -118,6 +118,7 @@ def votes(p: Properties) -> np.ndarray:
 
 
 LABELLERS = 7
+KNOWS, ERRS = 0.5, 0.02
 
 
 def _pattern(v: np.ndarray) -> np.ndarray:
@@ -146,16 +147,20 @@ class LabelModel:
 def expectation_maximisation(v: np.ndarray, count: np.ndarray, rounds: int = 200) -> LabelModel:
     """Accuracies of the labellers from vote patterns and their counts.
 
-    It begins from "bad if any labeller says bad", so that the class of bad texts means the same
-    whatever their share.
+    There are many kinds of bad text, and each labeller knows some: that it finds nothing bad says
+    little, that it does says much. So its chance of calling a bad text bad is held at KNOWS at most,
+    and that of calling a good one bad at ERRS at most. Without these bounds the commonest kind of
+    bad text, which several labellers see, would become the whole class. EM begins from "bad if any
+    labeller says bad", so that the classes mean the same whatever their shares.
     """
-    p = np.where((v < 0).any(1), 0.1, 0.95)
+    p = np.where((v < 0).any(1), 0.05, 0.98)
     model = None
     for _ in range(rounds):
         chances = np.empty((2, LABELLERS, 3))
         for c, weight in enumerate((count * (1 - p), count * p)):
             bad, good = (((v == vote) * weight[:, None]).sum(0) + 0.5 for vote in (-1, 1))
-            chances[c] = np.stack([bad / (bad + good), np.ones(LABELLERS), good / (bad + good)], 1)
+            says_bad = np.clip(bad / (bad + good), *(((0.05, KNOWS), (1e-4, ERRS))[c]))
+            chances[c] = np.stack([says_bad, np.ones(LABELLERS), 1 - says_bad], 1)
         share = float(((count * p).sum() + 1) / (count.sum() + 2))
         model = LabelModel(share, chances)
         new = model.posterior(v)

@@ -41,7 +41,7 @@ def integers(embeddings: DataFrame) -> DataFrame:
 
 def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return np.asarray(flat.flatten(), np.int64).reshape(-1, dim)
+    return np.asarray(flat.flatten(), np.int64).reshape(len(flat), dim)
 
 
 def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -74,7 +74,7 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
 def _search(data: DataFrame, queries: DataFrame, dim: int, n: int, k: int, salts: int) -> DataFrame:
     n_pivots = min(MOST_PIVOTS, -(-n // GROUP))
     bound_rows = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MOST_PIVOTS).toPandas()
-    rows = np.array(bound_rows["v"].tolist(), np.int64).reshape(-1, dim)
+    rows = np.array(bound_rows["v"].tolist(), np.int64).reshape(len(bound_rows), dim)
     row_ids = bound_rows["vec_id"].to_numpy()
     pivots = rows[:n_pivots]
 
@@ -154,8 +154,8 @@ def _search(data: DataFrame, queries: DataFrame, dim: int, n: int, k: int, salts
         for batch in batches:
             for ids, s, query_ids, q in zip(*(batch.column(i) for i in range(4)), strict=True):
                 ids, query_ids = np.frombuffer(ids.as_py(), np.int64), np.frombuffer(query_ids.as_py(), np.int64)
-                s = np.frombuffer(s.as_py(), np.int64).reshape(-1, dim)
-                q = np.frombuffer(q.as_py(), np.int64).reshape(-1, dim)
+                s = np.frombuffer(s.as_py(), np.int64).reshape(len(ids), dim)
+                q = np.frombuffer(q.as_py(), np.int64).reshape(len(query_ids), dim)
                 order = np.argsort(ids, kind="stable")
                 ids, score = ids[order], _product(q, s[order])
                 own = query_ids[:, None] == ids[None, :]
