@@ -47,6 +47,15 @@ def _latest(rows: str) -> str:
     )
 
 
+def _sent(when: str) -> str:
+    """A night's drop: each claim once."""
+    return (
+        "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY "
+        "_ingestion_ts DESC, provider_id DESC, claim_amount::VARCHAR DESC) AS rn FROM judged "
+        f"WHERE claim_id IS NOT NULL AND {when}) WHERE rn = 1"
+    )
+
+
 _TIER = (
     "CASE WHEN claim_amount > 50000 THEN 'Critical' WHEN claim_amount > 10000 THEN 'High' "
     "WHEN claim_amount > 5000 THEN 'Medium' ELSE 'Low' END"
@@ -203,6 +212,16 @@ _STEPS = {
     "silver_12": """
         SELECT * FROM silver_2 UNION ALL
         SELECT * FROM silver_1 WHERE claim_id NOT IN (SELECT claim_id FROM silver_2)""",
+    "sent_1": _sent("_ingestion_ts < TIMESTAMP '1999-01-01'"),
+    "sent_2": _sent("_ingestion_ts >= TIMESTAMP '1999-01-01'"),
+    "night_2": """
+        SELECT * FROM sent_2 UNION ALL
+        SELECT * REPLACE ('1' AS provider_id) FROM sent_1
+        WHERE diagnosis_code = 'BRAND#11' AND claim_id NOT IN (SELECT claim_id FROM sent_2)""",
+    "valid_2": "SELECT * FROM night_2 WHERE _reject_reason IS NULL",
+    "silver_n": """
+        SELECT * FROM valid_2 UNION ALL SELECT * FROM sent_1
+        WHERE _reject_reason IS NULL AND claim_id NOT IN (SELECT claim_id FROM valid_2)""",
     "members_1": _members(False),
     "members_2": _members(True),
     "patient_1": f"""
@@ -254,6 +273,7 @@ _STEPS = {
     "enriched_1": _enriched("silver_1"),
     "enriched_2": _enriched("silver_2"),
     "enriched_12": _enriched("silver_12"),
+    "enriched_n": _enriched("silver_n"),
     "resolved": _resolved("enriched"),
     "fact": f"SELECT {_sk('claim_id', 5)} AS claim_sk, * EXCLUDE (claim_date, member_id) FROM resolved",
     "history_fact": f"""
@@ -403,6 +423,7 @@ _STATEMENTS = {
     "provider_kpi": _kpi("enriched"),
     "kpi_upsert": f"""
         SELECT * FROM ({_kpi('enriched_12')})""",
+    "nightly_two_runs": _kpi("enriched_n"),
     "scd2_patient": "SELECT * FROM dim_patient",
     "scd1_provider": "SELECT * FROM dim_provider",
     "plan_dim": "SELECT * FROM dim_plan",

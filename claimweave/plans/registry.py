@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -20,7 +21,9 @@ from claimweave.operators import (
     views,
     warehouse,
 )
+from claimweave.operators.dedup import latest_per_key
 from claimweave.plans import driver_tables as src
+from claimweave.plans import nightly
 from claimweave.plans.driver_tables import AS_OF, FIRST_LOAD, SPLIT
 from claimweave.sources import control, tables
 from claimweave.sources.schemas import (
@@ -28,6 +31,7 @@ from claimweave.sources.schemas import (
     DIM_PROVIDER,
     DIM_PLAN,
     FACT_CLAIMS,
+    RAW_CLAIM_COLUMNS,
     empty,
 )
 from claimweave.sources.scratch import scratch_dir
@@ -377,6 +381,39 @@ def kpi_upsert(lake: Lake) -> DataFrame:
     )
 
 
+def nightly_two_runs(lake: Lake) -> DataFrame:
+    """KPIs after two nights of the whole chain, from CSV drops to Gold refreshed by what changed.
+
+    On the second night providers appear, members and plans change, and claims of one diagnosis come
+    again with another provider.
+    """
+    spark, root = lake.spark, scratch_dir(lake.spark, "lake")
+    database = f"nightly_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/{database}'")
+    job = nightly.Job(root, f"{root}/landing", database, full_gold=False)
+    newest = ["_ingestion_ts", "provider_id", "claim_amount"]
+    first, second = (
+        latest_per_key(half.filter("claim_id IS NOT NULL"), ["claim_id"], newest).unionByName(
+            half.filter("claim_id IS NULL")
+        )
+        for half in (lake.first_half, lake.second_half)
+    )
+    moved = first.filter(F.trim("diagnosis_code") == "brand#11").withColumn("provider_id", F.lit("1"))
+    moved = merge.without_keys(moved, second, ["claim_id"])
+    for night, drop in enumerate((first, second.unionByName(moved))):
+        drop.select(*RAW_CLAIM_COLUMNS).write.option("header", True).csv(f"{job.landing}/{night}")
+        nightly.run_nightly(
+            spark,
+            job,
+            f"night_{night}",
+            src.members(spark, lake.sf_dir, night == 1),
+            src.providers(spark, lake.sf_dir, night == 1),
+            src.plan_catalogue(spark, lake.sf_dir, night == 0),
+            AS_OF,
+        )
+    return without(spark.table(job.table("provider_kpi")), "last_refreshed")
+
+
 # --- dimensions --------------------------------------------------------------
 
 
@@ -597,6 +634,7 @@ CATALOGUE: dict[str, Callable[[Lake], DataFrame]] = {
         risk_tier_counts,
         provider_kpi,
         kpi_upsert,
+        nightly_two_runs,
         scd2_patient,
         scd1_provider,
         plan_dim,
