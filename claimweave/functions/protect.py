@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def pseudonymise(df: DataFrame, columns: list[str], salt: str) -> DataFrame:
-    """Replace columns by a salted digest: still joinable, no longer readable."""
-    return df.withColumns(
-        {c: F.sha2(F.concat(F.lit(salt), F.col(c).cast("string")), 256) for c in columns}
-    )
+def pseudonymise(df: DataFrame, columns: list[str], salt: Column) -> DataFrame:
+    """Replace columns by a salted digest: still joinable, no longer readable.
+
+    A literal salt shows in plans and event logs; read a secret one from a table, as a scalar subquery.
+    """
+    return df.withColumns({c: F.sha2(F.concat(salt, F.col(c).cast("string")), 256) for c in columns})
 
 
 def encrypt(df: DataFrame, columns: list[str], key: Column) -> DataFrame:

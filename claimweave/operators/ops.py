@@ -75,6 +75,13 @@ def ingestion_velocity(
     )
 
 
+def open_quarantine(quarantined: DataFrame, silver: DataFrame) -> DataFrame:
+    """Rejected rows that Silver has neither taken in by a replay nor overtaken by a newer version."""
+    held = silver.select(F.col("claim_id").alias("_held"), F.col("_ingestion_ts").alias("_held_ts"))
+    same = (F.col("claim_id") == F.col("_held")) & (F.col("_held_ts") >= F.col("_ingestion_ts"))
+    return quarantined.join(held, same, "left_anti")
+
+
 def ops_metrics(
     bronze: DataFrame,
     silver: DataFrame,
@@ -96,7 +103,7 @@ def ops_metrics(
             F.max("_ingestion_ts").alias("last_sync"),
         ),
         silver.agg(F.count(F.lit(1)).alias("silver_rows")),
-        quarantined.agg(F.count(F.lit(1)).alias("quarantine_backlog")),
+        open_quarantine(quarantined, silver).agg(F.count(F.lit(1)).alias("quarantine_backlog")),
         *(a.agg(F.sum(a.columns[0]).alias("anomalies")) for a in anomalies),
     ]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

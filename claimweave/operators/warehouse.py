@@ -46,23 +46,20 @@ def resolve_keys(
 def resolve_patient_as_of(staged: DataFrame, patients: DataFrame) -> DataFrame:
     """Attach the member version that was valid on the claim date instead of the current one.
 
-    A member has few versions, so they travel as one array per member: the join
-    stays one row per claim and hot members are handled by `lookup`.
+    The versions of a member don't overlap, so a claim meets one at most; a claim dated before the
+    first of them stays unresolved.
     """
-    versions = patients.groupBy("member_id").agg(
-        F.collect_list(F.struct("effective_from", "effective_to", "patient_sk")).alias("_versions")
+    versions = patients.select(
+        F.col("member_id").alias("_member"), "effective_from", "effective_to", "patient_sk"
     )
-    rows = lookup(staged, versions, "member_id", ["claim_id"])
     day = F.col("claim_date")
-    valid = F.filter(
-        "_versions",
-        lambda v: (v["effective_from"] <= day)
-        & (v["effective_to"].isNull() | (day < v["effective_to"])),
+    valid = (
+        (F.col("member_id") == F.col("_member"))
+        & (F.col("effective_from") <= day)
+        & (F.col("effective_to").isNull() | (day < F.col("effective_to")))
     )
-    found = F.get(F.transform(valid, lambda v: v["patient_sk"]), F.lit(0))
-    return rows.withColumn(
-        "patient_sk", F.coalesce(found, F.lit(UNRESOLVED).cast("bigint"))
-    ).drop("_versions")
+    rows = staged.join(versions, valid, "left").drop("_member", "effective_from", "effective_to")
+    return rows.withColumn("patient_sk", _or_unresolved("patient_sk"))
 
 
 def fact_rows(

@@ -447,6 +447,19 @@ _STATEMENTS = {
         WHERE member_id NOT IN (SELECT member_id FROM members_1)""",
     "masked_members": """
         SELECT member_id, sha256('salt:' || member_name) AS member_name, state FROM members_2""",
+    "encrypted_members": """
+        SELECT member_id, member_name, state, true AS hidden FROM members_2""",
+    "gated_claims": """
+        SELECT claim_id, member_id, broken FROM (
+            SELECT claim_id, member_id, concat_ws(',',
+                CASE WHEN claim_id IS NULL THEN 'has_id' END,
+                CASE WHEN NOT coalesce(claim_amount >= 0, false) THEN 'amount_not_negative' END,
+                CASE WHEN NOT coalesce(discharge_date >= admission_date, false)
+                     THEN 'discharged_after_admission' END) AS broken
+            FROM typed) WHERE broken <> ''""",
+    "diagnosis_codes": """
+        SELECT lpad(p_size::VARCHAR, 5, '0') AS icd10_code, max(p_name) AS description,
+               max(p_type) AS category, max(p_size % 2)::INT AS chronic_flag FROM part GROUP BY p_size""",
     "staging_claims": """
         SELECT claim_id, member_id, provider_id, claim_date, admission_date, discharge_date,
                processing_days, claim_amount, diagnosis_code, procedure_code, claim_status,
@@ -546,7 +559,8 @@ _STATEMENTS = {
                 AND discharge_date <= DATE '2001-01-01') AS throughput_30d,
                {_pct('(SELECT count(*) FROM silver)', '(SELECT count(*) FROM typed)')}
                    AS accuracy_pct,
-               (SELECT count(*) FROM bad) AS quarantine_backlog,
+               (SELECT count(*) FROM bad b WHERE NOT EXISTS (SELECT 1 FROM silver s
+                WHERE s.claim_id = b.claim_id AND s._ingestion_ts >= b._ingestion_ts)) AS quarantine_backlog,
                (({_ORPHANS})
                 + (SELECT count(*) FROM fact WHERE patient_sk = -1)
                 + (SELECT count(*) FROM fact WHERE provider_sk = -1)

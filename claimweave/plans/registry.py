@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.functions import columns as fn
-from claimweave.functions.protect import pseudonymise
+from claimweave.functions.protect import decrypt, encrypt, pseudonymise
 from claimweave.operators import (
     dimensions,
     gold,
@@ -456,7 +456,41 @@ def new_members(lake: Lake) -> DataFrame:
 
 def masked_members(lake: Lake) -> DataFrame:
     people = src.members(lake.spark, lake.sf_dir, True).select("member_id", "member_name", "state")
-    return pseudonymise(people, ["member_name"], "salt:")
+    return pseudonymise(people, ["member_name"], F.lit("salt:"))
+
+
+def encrypted_members(lake: Lake) -> DataFrame:
+    """Names encrypted with a key that lies in a table, and decrypted again."""
+    people = src.members(lake.spark, lake.sf_dir, True).select("member_id", "member_name", "state")
+    regions = src.table(lake.spark, lake.sf_dir, "region")
+    key = regions.agg(F.left(F.sha2(F.max("r_name"), 256), F.lit(32)).alias("key")).scalar()
+    hidden = encrypt(people.withColumn("plain", F.col("member_name")), ["member_name"], key)
+    hidden = hidden.withColumn("hidden", F.col("member_name") != F.col("plain")).drop("plain")
+    return decrypt(hidden, ["member_name"], key)
+
+
+def gated_claims(lake: Lake) -> DataFrame:
+    """Claims that an expectation keeps out of Silver, and the expectations they break."""
+    rules = {
+        "has_id": F.col("claim_id").isNotNull(),
+        "amount_not_negative": F.col("claim_amount") >= 0,
+        "discharged_after_admission": F.col("discharge_date") >= F.col("admission_date"),
+    }
+    _, failing = quality.gate(lake.typed, rules)
+    return failing.select("claim_id", "member_id", F.array_join("_broken_rules", ",").alias("broken"))
+
+
+def diagnosis_codes(lake: Lake) -> DataFrame:
+    """A diagnosis list, written from `part` and read back by its contract."""
+    path = scratch_dir(lake.spark, "codes")
+    parts = src.table(lake.spark, lake.sf_dir, "part")
+    code = F.lpad(F.col("p_size").cast("string"), 5, "0").alias("icd10_code")
+    parts.groupBy(code).agg(
+        F.max("p_name").alias("description"),
+        F.max("p_type").alias("category"),
+        F.max(F.col("p_size") % 2).alias("chronic_flag"),
+    ).write.option("header", True).csv(path)
+    return tables.read_reference(lake.spark, "icd10", path)
 
 
 # --- warehouse ---------------------------------------------------------------
@@ -643,6 +677,9 @@ CATALOGUE: dict[str, Callable[[Lake], DataFrame]] = {
         surrogate_keys,
         new_members,
         masked_members,
+        encrypted_members,
+        gated_claims,
+        diagnosis_codes,
         staging_claims,
         fact_load,
         fact_delete_insert,
