@@ -4,12 +4,14 @@ import os
 import re
 
 import pytest
-from conftest import SF_DIR
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from claimweave.operators import gold
+from claimweave.plans import oracle, registry
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SF_DIR = os.environ.get("CLAIMWEAVE_SF_DIR", "/root/testdata/sf0.001")
+QUERIES, SQL = registry.queries(), oracle.oracle_sql()
 
 
 def plan(spark, name):
@@ -23,6 +25,24 @@ def twin():
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_lookups_run_nothing_while_planned(spark):
+    """Building a query that only joins and aggregates starts no job."""
+    lake = registry.Lake(spark, SF_DIR)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tracker = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup("planning", "lookups")
+        claims = lake.cleansed()[0]
+        gold.provider_kpi(gold.enrich_claims(claims, lake.patients_after(1), lake.providers_after(1)))
+        jobs = tracker.getJobIdsForGroup("planning")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sparkContext.setJobGroup("other", "other")
+    # a schema is read from a file's footer, one small job for each spark.read; nothing else runs
+    assert all(len(tracker.getJobInfo(j).stageIds) == 1 for j in jobs) and len(jobs) <= 12
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
