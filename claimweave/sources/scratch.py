@@ -21,5 +21,5 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         if not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="claimweave-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        spark.sparkContext.setCheckpointDir(shared)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
