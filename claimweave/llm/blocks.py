@@ -16,11 +16,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.llm.shared import partitions
-from claimweave.llm.text import texts
+from claimweave.llm.text import release, texts, tidy
 
 BLOCK = 1 << 21
 
@@ -38,16 +40,19 @@ class Blocks:
         size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
         self.n = max(partitions(docs.sparkSession), -(-int(size) // BLOCK))
         rows = docs.select(kept.alias("row"), text.alias("text"))
-        block = F.pmod(F.xxhash64("text", F.to_json("row")), F.lit(self.n)).cast("int")
-        self.rows = rows.withColumn("block", block).repartition("block")
         self.row_type = rows.schema["row"].dataType.simpleString()
+        block = F.pmod(F.xxhash64("text", F.to_json("row")), F.lit(self.n)).cast("int")
+        rows = rows.withColumn("block", block).mapInArrow(tidy(_squeezed), f"row {self.row_type}, text binary, block int")
+        self.rows = rows.repartition("block")
 
     def ask(self, make: Callable[[int, pa.Table], Iterator[tuple[int, int, bytes]]]) -> DataFrame:
         """Rows of SENT; `make` gets a block and its documents, and yields (bucket, kind, blob)."""
 
         def run(table: pa.Table) -> pa.Table:
             block = table.column("block")[0].as_py()
-            return _sent(block, make(block, ordered(table)))
+            out = _sent(block, make(block, ordered(table)))
+            release()
+            return out
 
         return self.rows.groupBy("block").applyInArrow(run, SENT)
 
@@ -58,7 +63,9 @@ class Blocks:
             if not len(table):
                 return _sent(0, iter(()))
             block = table.column("block")[0].as_py()
-            return _sent(block, make(block, ordered(table), received(got)))
+            out = _sent(block, make(block, ordered(table), received(got)))
+            release()
+            return out
 
         return self.rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, SENT)
 
@@ -69,7 +76,9 @@ class Blocks:
         def run(table: pa.Table, got: pa.Table) -> pa.Table:
             if not len(table):
                 return empty.empty_table()
-            return make(ordered(table), received(got)).cast(empty)
+            out = make(ordered(table), received(got)).cast(empty)
+            release()
+            return out
 
         return self.rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
@@ -88,6 +97,7 @@ def answered(sent: DataFrame, answer: Callable[[list[tuple[int, int, bytes]]], I
         bucket = table.column("bucket")[0].as_py()
         came = zip(table.column("block").to_pylist(), table.column("kind").to_pylist(), table.column("blob").to_pylist(), strict=True)
         out = list(answer(sorted(came, key=lambda x: (x[0], x[1]))))
+        release()
         return pa.table(
             {
                 "block": pa.array([x[0] for x in out], pa.int32()),
@@ -112,18 +122,22 @@ def _sent(block: int, rows: Iterator[tuple[int, int, bytes]]) -> pa.Table:
     )
 
 
-def ordered(table: pa.Table) -> pa.Table:
-    """A block's rows in an order that their content gives."""
-    t = texts(table.column("text"))
-    keys = [(hash_of(t.of(i)), i) for i in range(len(t))]
-    order = sorted(keys)
-    return table.take(pa.array([i for _, i in order], pa.int64()))
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts in less space for the shuffle."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        t = texts(batch.column("text"))
+        small = pa.array([squeeze(t.of(i)) for i in range(len(t))], pa.binary())
+        yield pa.record_batch([batch.column("row"), small, batch.column("block")], ["row", "text", "block"])
 
 
-def hash_of(text: bytes) -> int:
-    import xxhash
-
-    return xxhash.xxh3_128_intdigest(text)
+def ordered(table: pa.Table) -> pa.Table:
+    """A block's rows, texts unpacked, in an order that their content gives."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    raw = [unpack(x.as_py()) for x in table.column("text")]
+    order = sorted(range(len(raw)), key=lambda i: (xxhash.xxh3_128_intdigest(raw[i]), i))
+    table = table.set_column(table.column_names.index("text"), "text", pa.array(raw, pa.large_binary()))
+    return table.take(pa.array(order, pa.int64()))
 
 
 def received(table: pa.Table) -> list[tuple[int, int, bytes]]:

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from claimweave.llm.text import Memory, Rolling, Texts, Words, pieces, ragged
+from claimweave.llm.text import Memory, Rolling, Texts, Words, pieces, ragged, tidy
 
 TOKENIZER = "word_bpe_49k.json"
 END = "</w>"
@@ -97,7 +97,7 @@ class Automaton:
         """Whether the arc from u to v outlives all merges."""
         known = self.table.get((u, v))
         if known is None:
-            if len(self.table) > 2_000_000:
+            if len(self.table) > 500_000:
                 self.table.clear()
             known = self.table[u, v] = self._stand(u, v, NEVER)
         return known
@@ -225,7 +225,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
                 ids = pa.array([x.astype(np.int32) for x in tokens(t)], pa.list_(pa.int32()))
                 yield pa.record_batch([part.column("doc_id"), ids], ["doc_id", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -237,7 +237,7 @@ def decode(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
             made = [tokens.decode(np.array(x or [], np.int64)) for x in batch.column("ids").to_pylist()]
             yield pa.record_batch([batch.column("doc_id"), pa.array(made, pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(tidy(run), "doc_id long, text string")
 
 
 def digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -258,4 +258,4 @@ def digests(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
                     ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, DIGESTS)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), DIGESTS)

@@ -27,12 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.llm.blocks import Blocks, answered, buckets, packed, unpacked
 from claimweave.llm.shared import shared_path
-from claimweave.llm.text import LOWER, Rolling, Words, mixed, texts
+from claimweave.llm.text import LOWER, Rolling, Words, mixed, texts, tidy
 
 END = np.uint64(0x1D0C0FFEE1234567)
 EXACT, OCTAVE = 16, 4  # bins: counts below EXACT one by one, then OCTAVE to each doubling
@@ -183,9 +184,10 @@ def _counted(docs: DataFrame) -> DataFrame:
         known = np.add.reduceat(c_word > 0, first, dtype=np.int64)
         cells = _cells(view, totals, c_word, c_pair, pair)
         nothing = b""
-        words32, pairs32 = c_word.astype(np.float32), c_pair.astype(np.float32)
+        words64, pairs64 = totals[view.token], both[pair]
         bounds = view.first.tolist()
-        counts = [_planes(words32[a:b]) + _planes(pairs32[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        counts = [_planes(words64[a:b]) + _planes(pairs64[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        counts = [zstandard.compress(x, 6) for x in counts]
         rows = len(view.n)
         return pa.table(
             {
@@ -265,7 +267,7 @@ def score(docs: DataFrame) -> DataFrame:
     """Learns from `docs` and scores all of them, see SCORED."""
     spark = docs.sparkSession
     path = shared_path(spark, "counts")
-    _counted(docs).write.option("compression", "zstd").parquet(path)
+    _counted(docs).write.parquet(path)
     table = spark.read.schema(COUNTED).parquet(path)
     sums = table.agg(
         F.sum(F.when(~F.col("held_out"), F.col("n_tokens")).otherwise(0)).alias("n"), F.sum("new_words").alias("v")
@@ -280,7 +282,7 @@ def score(docs: DataFrame) -> DataFrame:
                 count = np.bincount(back, np.concatenate([p[1] for p in parts])).astype(np.int64)
                 yield pa.record_batch([pa.array(cell), pa.array(count)], ["cell", "n"])
 
-    cells = table.select("cells").mapInArrow(histogram, "cell long, n long")
+    cells = table.select("cells").mapInArrow(tidy(histogram), "cell long, n long")
     cells = cells.groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toPandas()
     weights = learn_weights(cells["cell"].to_numpy(np.int64), cells["n"].to_numpy(float), n, v)
     normal = np.log10(n + 0.1 * (v + 1))
@@ -291,8 +293,9 @@ def score(docs: DataFrame) -> DataFrame:
             for m, starts, blob in zip(
                 batch.column("n_tokens").to_pylist(), batch.column("starts").to_pylist(), batch.column("counts").to_pylist(), strict=True
             ):
-                word = _unplanes(blob[: 4 * m], "f4").astype(np.float64)
-                both = _unplanes(blob[4 * m :], "f4").astype(np.float64)
+                blob = zstandard.decompress(blob)
+                word = _unplanes(blob[: 8 * m], "u8").astype(np.float64)
+                both = _unplanes(blob[8 * m :], "u8").astype(np.float64)
                 before = np.empty(m)
                 before[1:] = word[:-1]
                 before[0] = starts
@@ -317,4 +320,4 @@ def score(docs: DataFrame) -> DataFrame:
     ready = table.select(
         "doc_id", "held_out", "n_tokens", "n_known", "log_sum", "counts", F.lit(float(starts)).alias("starts")
     )
-    return ready.mapInArrow(apply, SCORED)
+    return ready.mapInArrow(tidy(apply), SCORED)

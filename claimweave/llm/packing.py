@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from claimweave.llm.text import SPACE, Memory, Rolling, Texts, Words, pieces, ragged
+from claimweave.llm.text import SPACE, Memory, Rolling, Texts, Words, pieces, ragged, tidy
 
 WINDOW = 2048
 END = 1
@@ -242,7 +242,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, e
         packer.join(finish=True)
         yield rows()
 
-    return docs.select("doc_id", "text").mapInArrow(run, PACKED)
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), PACKED)
 
 
 _tokens: dict[str, ByteTokens] = {}

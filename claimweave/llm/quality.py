@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimweave.llm.text import Rolling, Texts, Words, pieces
+from claimweave.llm.text import Rolling, Texts, Words, pieces, tidy
 
 FEATURES = 1 << 12
 FIT_ROWS = 20_000
@@ -225,7 +225,7 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         at = np.flatnonzero(sums)
         yield pa.record_batch([pa.array(at), pa.array(sums[at])], ["pattern", "n"])
 
-    counted = texts.mapInArrow(vote, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(tidy(vote), "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
     counted = counted.orderBy("pattern").toPandas()
     n = int(counted["n"].sum())
     if not n:
@@ -253,7 +253,7 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     most = min(int(fit_rows / n * 2**64) - 2**63, 2**63 - 1)
     sample = docs.select(place.alias("place"), "text").filter(F.col("place") <= most)
     rows = sample.mapInArrow(
-        example, "place long, good double, columns array<int>, numbers array<float>"
+        tidy(example), "place long, good double, columns array<int>, numbers array<float>"
     ).toArrow().sort_by("place")
     return Model(labels, _train(rows))
 
@@ -301,7 +301,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, score double, label_score double, n_words long"
+        tidy(run), "doc_id long, score double, label_score double, n_words long"
     )
 
 
@@ -314,4 +314,4 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFram
             for part, t in pieces(batch):
                 yield part.filter(pa.array(_score(model, t) >= threshold))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)

@@ -15,7 +15,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="claimweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(folder)
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -43,7 +43,7 @@ from claimweave.llm.repeats import (
     least_places,
     read_states,
 )
-from claimweave.llm.text import Rolling, mixed, ragged, texts
+from claimweave.llm.text import Rolling, mixed, ragged, texts, tidy
 
 LENGTH = 400
 TRIGGER = 8
@@ -248,6 +248,6 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.record_batch([batch.column("row"), kept], ["row", "kept"])
 
     found = find(docs, length)
-    text = found.select("row", "kept").mapInArrow(decode, f"row {dict(found.dtypes)['row']}, kept string")
+    text = found.select("row", "kept").mapInArrow(tidy(decode), f"row {dict(found.dtypes)['row']}, kept string")
     columns = [F.col("kept").alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
     return text.select(*columns)

@@ -6,6 +6,8 @@ that their memory doesn't depend on the size of a partition.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,6 +34,28 @@ class Texts:
         return self.data[self.offsets[i] : self.offsets[i + 1]].tobytes()
 
 
+def tidy(run: Callable) -> Callable:
+    """`run`, a generator for mapInArrow, which gives memory back to the system when it ends.
+
+    Python workers live on from task to task, and an executor has several.
+    """
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidied
+
+
+def release() -> None:
+    """Gives freed memory back to the system."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def texts(column: pa.Array | pa.ChunkedArray) -> Texts:
     """A column of strings or binaries without copying; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

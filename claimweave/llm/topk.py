@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimweave.llm.text import tidy
 from claimweave.llm.shared import partitions, stored
 
 SCALE = 256
@@ -100,7 +101,7 @@ def _search(data: DataFrame, queries: DataFrame, dim: int, n: int, k: int, salts
 
     cells = stored(
         queries.select("vec_id", "v").mapInArrow(
-            grouped, "cell int, far double, least double, query_id long, q array<long>"
+            tidy(grouped), "cell int, far double, least double, query_id long, q array<long>"
         ),
         "queries",
     )
@@ -145,10 +146,10 @@ def _search(data: DataFrame, queries: DataFrame, dim: int, n: int, k: int, salts
 
     # queries of one cell lie together; a hot cell is cut, as the id completes the range key
     ready = cells.repartitionByRange(n_pivots, "cell", "query_id").mapInArrow(
-        chunks, "cell int, query_ids binary, queries binary"
+        tidy(chunks), "cell int, query_ids binary, queries binary"
     )
     ready = ready.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    sent = data.select("vec_id", "v").mapInArrow(blocks, "cell int, salt int, ids binary, rows binary")
+    sent = data.select("vec_id", "v").mapInArrow(tidy(blocks), "cell int, salt int, ids binary, rows binary")
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,4 +172,4 @@ def _search(data: DataFrame, queries: DataFrame, dim: int, n: int, k: int, salts
                 )
 
     met = sent.join(ready, ["cell", "salt"]).select("ids", "rows", "query_ids", "queries")
-    return met.mapInArrow(solve, "query_id long, vec_id long, score long")
+    return met.mapInArrow(tidy(solve), "query_id long, vec_id long, score long")

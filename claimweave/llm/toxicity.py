@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.llm.shared import stored
-from claimweave.llm.text import LOWER, Rolling, Texts, Words, pieces
+from claimweave.llm.text import LOWER, Rolling, Texts, Words, pieces, tidy
 
 BUCKETS = 1 << 18
 FIT_ROWS = 20_000
@@ -162,7 +162,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         at = np.flatnonzero(sums.any(0))
         yield pa.record_batch([pa.array(at), pa.array(sums[0, at]), pa.array(sums[1, at])], ["bucket", "clean", "toxic"])
 
-    counted = sample.mapInArrow(count, "bucket long, clean long, toxic long")
+    counted = sample.mapInArrow(tidy(count), "bucket long, clean long, toxic long")
     counted = counted.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas()
     clean, toxic = np.zeros(BUCKETS), np.zeros(BUCKETS)
     clean[counted["bucket"]], toxic[counted["bucket"]] = counted["clean"], counted["toxic"]
@@ -187,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         at = np.flatnonzero(sums)
         yield pa.record_batch([pa.array(at), pa.array(sums[at])], ["step", "n"])
 
-    steps = sample.mapInArrow(spread, "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).toPandas()
+    steps = sample.mapInArrow(tidy(spread), "step long, n long").groupBy("step").agg(F.sum("n").alias("n")).toPandas()
     share = steps["n"].to_numpy(float)
     rate = _rate((steps["step"].to_numpy() - STEPS) * STEP, share / share.sum())
 
@@ -200,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
                     [part.column("toxic"), pa.array(np.diff(w.first)), scores], ["toxic", "n", "scores"]
                 )
 
-    rows = sample.mapInArrow(best, "toxic int, n long, scores array<double>").toArrow().to_pydict()
+    rows = sample.mapInArrow(tidy(best), "toxic int, n long, scores array<double>").toArrow().to_pydict()
     toxic, n, found = np.array(rows["toxic"]) != 0, np.array(rows["n"]), rows["scores"]
     model = Model(odds, rate, 0.0, np.zeros(3))
     # the median of the best segment's law is ln K - ln ln 2 above lambda * S - ln n
@@ -246,7 +246,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             for part, t in pieces(batch):
                 yield pa.record_batch([part.column("doc_id"), pa.array(_probability(model, t))], ["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, score double")
 
 
 def passages(docs: DataFrame, model: Model) -> DataFrame:
@@ -272,7 +272,7 @@ def passages(docs: DataFrame, model: Model) -> DataFrame:
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, start long, end long, passage string, significance double"
+        tidy(run), "doc_id long, start long, end long, passage string, significance double"
     )
 
 
@@ -285,4 +285,4 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> Data
             for part, t in pieces(batch):
                 yield part.filter(pa.array(_probability(model, t) < threshold))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
