@@ -9,14 +9,18 @@ linked with nothing. Two sets are linked if 100 * |both| >= percent * |either|.
 2. Of every set of n elements the first n - ceil(percent% of n) + 1 go to the bucket of their hash.
    Linked sets meet there, in a group for each element that they share. Copies have one set id and
    count once.
-3. Each group picks a leader, and its members are compared with it, not with each other. The
-   members' ordered sets form a prefix tree, kept as sorted sequences with the length that each
-   shares with the one before: a shared beginning is compared with the leader once, and a sequence
-   is left as soon as what remains of it can't reach the overlap that a link needs.
-4. Links make components. Groups that lie in one component are done, whatever their size; the
-   others pick other leaders in the next round. After ROUNDS such rounds the pairs of different
-   components that groups still hold are compared one by one, so that no link is lost that would
+3. Each set first meets one leader: the first, in an order that all groups share, that its groups
+   have. A family of near copies is mostly joined by that, with one comparison for each member.
+4. Links make components. Groups that lie in one component are done, whatever their size. In the
+   others each member meets the members of other components that its sketch doesn't rule out: the
+   likeliest one, then the 8 likeliest, then 64, until none has any left. A sketch holds four bits or
+   more for each element, the parity of the elements that fall on it; sets whose sketches differ in
+   more bits than linked sets can differ in elements are not linked. So no link is lost that would
    join two components.
+5. Pairs that the sketches leave are compared exactly. The ordered sets of a leader's partners form
+   a prefix tree, kept as sorted sequences with the length that each shares with the one before: a
+   shared beginning is compared with the leader once, and a sequence is left as soon as what
+   remains of it can't reach the overlap that a link needs.
 
 Repeated rows are copies of each other. An empty table gives no rows. Other columns are ignored. A
 component is named by its smallest doc_id; rows without one don't name a component unless all its
@@ -33,13 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.llm.shared import partitions, stored
-from claimweave.llm.text import LOWER, Rolling, Texts, Words, mixed, pieces
+from claimweave.llm.text import LOWER, Rolling, Texts, Words, mixed, pieces, texts, tidy
 
 SIZE = 5
 PERCENT = 80
-CELLS = 1 << 16
-ROUNDS = 4
+CELLS = 1 << 20
+SLICE = 1 << 14  # cells that are added up together
 CHUNK = 256  # members compared in one call
+PAIRS = 1 << 21  # pairs of sketches held at once
 
 _bytes, _words = Rolling(51), Rolling(52)
 
@@ -67,17 +72,47 @@ class Sets:
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(self.elements ^ np.uint64(0x5EED)))])
         self.ids = mixed(np.diff(total[self.first]) + self.n.astype(np.uint64)).view(np.int64)
 
+    def sketches(self) -> list[bytes]:
+        """For each set the parities of the elements that share their low bits."""
+        bits = sketch_bits(self.n)
+        begin = np.cumsum(bits) - bits
+        low = (self.elements & (bits[self.doc] - 1).astype(np.uint64)).astype(np.int64)
+        parity = np.bincount(begin[self.doc] + low, minlength=int(bits.sum())) & 1
+        packed = np.packbits(parity.astype(np.uint8), bitorder="little").tobytes()
+        return [packed[x // 8 : (x + y) // 8] for x, y in zip(begin.tolist(), bits.tolist(), strict=True)]
+
     def ordered(self, counts: np.ndarray) -> np.ndarray:
         """The elements, each set's in the global order."""
         return self.elements[np.lexsort((self.elements, counts[_cell(self.elements)], self.doc))]
 
 
 def _cell(elements: np.ndarray) -> np.ndarray:
-    return (elements >> np.uint64(48)).astype(np.int64)
+    return (elements >> np.uint64(44)).astype(np.int64)
+
+
+def sketch_bits(n: np.ndarray) -> np.ndarray:
+    """The power of two from 4 * n on, 64 at least: sets of similarity below about 0.79 show as such."""
+    return np.maximum(64, 1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64))
+
+
+def most_apart(n: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
+    """The most elements that only one of two linked sets can have; below 0 if their sizes rule out a link."""
+    total = n + other
+    need = -(-percent * total // (100 + percent))
+    return np.where(need <= np.minimum(n, other), total - 2 * need, -1)
+
+
+def _fold(sketch: np.ndarray, words: int) -> np.ndarray:
+    """Sketches (rows of 64-bit words) with half as many bits, again and again."""
+    while sketch.shape[1] > words:
+        half = sketch.shape[1] // 2
+        sketch = sketch[:, :half] ^ sketch[:, half:]
+    return sketch
 
 
 def _census(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
-    """doc_id, text_id, set_id and n of every row; and the corpus counts of the cells."""
+    """doc_id, text_id, set_id, n and sketch of every row; and the corpus counts of the cells."""
+    names = ["doc_id", "text_id", "set_id", "n", "sketch", "slice"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, np.int64)
@@ -91,30 +126,33 @@ def _census(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
                         part.column("text_id"),
                         pa.array(s.ids),
                         pa.array(s.n),
-                        pa.array([None] * len(t), pa.binary()),
+                        pa.array(s.sketches(), pa.binary()),
+                        pa.array([None] * len(t), pa.int32()),
                     ],
-                    ["doc_id", "text_id", "set_id", "n", "counts"],
+                    names,
                 )
         if counts.any():
-            nothing = [pa.array([None], pa.int64())] * 4
-            yield pa.record_batch(
-                [*nothing, pa.array([counts.tobytes()])], ["doc_id", "text_id", "set_id", "n", "counts"]
-            )
+            rows = CELLS // SLICE
+            nothing = [pa.array([None] * rows, pa.int64())] * 4
+            slices = [part.tobytes() for part in counts.reshape(rows, SLICE)]
+            yield pa.record_batch([*nothing, pa.array(slices, pa.binary()), pa.array(range(rows), pa.int32())], names)
 
-    table = stored(docs.mapInArrow(run, "doc_id long, text_id long, set_id long, n long, counts binary"), "sets")
+    table = stored(
+        docs.mapInArrow(tidy(run), "doc_id long, text_id long, set_id long, n long, sketch binary, slice int"), "sets"
+    )
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CELLS, np.int64)
-        for batch in batches:
-            for blob in batch.column("counts").to_pylist():
-                total += np.frombuffer(blob, np.int64)
-        yield pa.record_batch([pa.array(np.arange(CELLS)), pa.array(total)], ["cell", "n"])
+    def add(part: pa.Table) -> pa.Table:
+        total = np.zeros(SLICE, np.int64)
+        for blob in part.column("sketch"):
+            total += np.frombuffer(blob.as_py(), np.int64)
+        return pa.table({"slice": part.column("slice")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
-    cells = table.filter(F.col("counts").isNotNull()).select("counts").mapInArrow(spread, "cell long, n long")
-    cells = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    slices = table.filter(F.col("slice").isNotNull()).select("slice", "sketch")
+    slices = slices.groupBy("slice").applyInArrow(add, "slice int, counts binary").collect()
     counts = np.zeros(CELLS, np.int64)
-    counts[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy()
-    return table.filter(F.col("counts").isNull()).drop("counts"), counts
+    for row in slices:
+        counts[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(row["counts"], np.int64)
+    return table.filter(F.col("slice").isNull()).drop("slice"), counts
 
 
 def _groups(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
@@ -182,8 +220,8 @@ def _groups(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Dat
                 ["element", "set_id", "n"],
             )
 
-    sent = docs.select("text").mapInArrow(send, "bucket int, blob binary").repartitionById(n_buckets, F.col("bucket"))
-    return stored(sent.select("blob").mapInArrow(meet, "element long, set_id long, n long"), "groups")
+    sent = docs.select("text").mapInArrow(tidy(send), "bucket int, blob binary").repartitionById(n_buckets, F.col("bucket"))
+    return stored(sent.select("blob").mapInArrow(tidy(meet), "element long, set_id long, n long"), "groups")
 
 
 def tree_overlaps(leader: np.ndarray, members: list[np.ndarray], counts: np.ndarray, percent: int) -> list[bool]:
@@ -242,25 +280,37 @@ def _verified(pairs: DataFrame, elements: DataFrame, counts: np.ndarray, percent
     return rows.unionByName(heads).groupBy("a", "chunk").applyInArrow(run, "a long, b long")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(set_id, label): the smallest set_id that links (a, b) lead to. Labels jump ahead by their own label."""
-    labels = stored(nodes.select("set_id", F.col("set_id").alias("label")), "labels")
-    links = stored(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))), "links")
+def components(links: DataFrame) -> DataFrame:
+    """(node, label) for the ends of links (a, b): the smallest node that links lead to.
+
+    Each round takes the least label among the neighbours and then that label's own label.
+    """
+    links = stored(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct(), "links")
+    labels = stored(links.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"), "labels")
     while True:
-        near = links.join(labels, links["b"] == labels["set_id"]).groupBy("a").agg(F.min("label").alias("near"))
-        closer = labels.join(near, labels["set_id"] == near["a"], "left").select(
-            "set_id", "label", F.least("label", F.coalesce("near", "label")).alias("next")
-        )
-        ahead = labels.select(F.col("set_id").alias("next"), F.col("label").alias("beyond"))
-        moved = closer.join(ahead, "next", "left").select(
-            "set_id", F.least("next", F.coalesce("beyond", "next")).alias("label"), F.col("label").alias("old")
+        near = links.join(labels, links["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
+        closer = labels.join(near, labels["node"] == near["a"]).select(
+            "node", "label", F.least("label", "near").alias("next")
         )
+        ahead = labels.select(F.col("node").alias("next"), F.col("label").alias("beyond"))
+        moved = closer.join(ahead, "next").select("node", F.least("next", "beyond").alias("label"), F.col("label").alias("old"))
         moved = stored(moved, "labels")
-        labels = moved.select("set_id", "label")
+        labels = moved.select("node", "label")
         if moved.filter(F.col("label") != F.col("old")).isEmpty():
             return labels
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(set_id, label) after new links (a, b) between sets; only the components that they join are looked at."""
+    own = labels.toDF("a", "a_label")
+    other = labels.toDF("b", "b_label")
+    steps = links.join(own, "a").join(other, "b").filter(F.col("a_label") != F.col("b_label"))
+    steps = steps.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct()
+    moved = components(steps).toDF("label", "to")
+    moved = labels.join(moved, "label", "left").select("set_id", F.coalesce("to", "label").alias("label"))
+    return stored(moved, "labels")
+
+
 def link(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     named = _named(docs, size, percent)
@@ -272,69 +322,200 @@ def link(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame
     )
 
 
-def _named(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, text_id, set_id, n and the component's label of every row; a table in the shared folder."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("text_id", F.xxhash64("text"))
-    census, counts = _census(docs, size)
-    groups = _groups(docs, counts, size, percent)
-    nodes = groups.select("set_id").distinct()
-    labels = stored(nodes.select("set_id", F.col("set_id").alias("label")), "labels")
+def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sketches don't rule out."""
+    sketch = nodes.select("set_id", "n", "sketch")
+    both = pairs.join(sketch.toDF("a", "a_n", "a_sketch"), "a").join(sketch.toDF("b", "b_n", "b_sketch"), "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most = most_apart(np.asarray(batch.column("a_n")), np.asarray(batch.column("b_n")), percent)
+            keep = []
+            for x, y, m in zip(batch.column("a_sketch").to_pylist(), batch.column("b_sketch").to_pylist(), most, strict=True):
+                x, y = np.frombuffer(x, np.uint64)[None], np.frombuffer(y, np.uint64)[None]
+                words = min(x.shape[1], y.shape[1])
+                keep.append(bool(np.bitwise_count(_fold(x, words) ^ _fold(y, words)).sum() <= m))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return both.select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch").mapInArrow(tidy(run), "a long, b long")
+
+
+def _partners(groups: DataFrame, k: int, percent: int) -> DataFrame:
+    """For each member of a group its k likeliest partners of other components: (element, a, b), and whether
+    it has more. Small groups are handled together, a large one in blocks of pairs."""
+    n_parts = partitions(groups.sparkSession)
+
+    def run(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches)
+        element, ids, n, label = (table.column(c).to_numpy() for c in ("element", "set_id", "n", "label"))
+        sketch = texts(table.column("sketch"))
+        flat, begin = np.frombuffer(sketch.data.tobytes(), np.uint64), sketch.offsets[:-1] // 8
+        words = np.diff(sketch.offsets) // 8
+        first = np.flatnonzero(np.diff(element, prepend=~element[:1]))
+        size = np.diff(np.append(first, len(element)))
+        left = np.repeat(first + size, size) - np.arange(len(element)) - 1  # members after each one in its group
+
+        best = np.zeros((0, 3), np.int64)  # member, how far apart, partner
+        count = np.zeros(len(element), np.int64)
+        held: list[np.ndarray] = []
+        ahead = 1
+        rows = np.flatnonzero(left >= 1)
+        while len(rows):
+            held.append(np.stack([rows, rows + ahead], 1))
+            ahead += 1
+            rows = rows[left[rows] >= ahead]
+            if sum(map(len, held)) >= PAIRS or not len(rows):
+                i, j = np.concatenate(held).T
+                held = []
+                most = most_apart(n[i], n[j], percent)
+                keep = (label[i] != label[j]) & (most >= 0)
+                i, j, most = i[keep], j[keep], most[keep]
+                apart = _apart(flat, begin, words, i, j)
+                keep = apart <= most
+                i, j, apart = i[keep], j[keep], apart[keep]
+                count += np.bincount(i, minlength=len(count)) + np.bincount(j, minlength=len(count))
+                new = np.stack([np.concatenate(x) for x in ((i, j), (apart, apart), (j, i))], 1)
+                best = np.concatenate([best, new])
+                best = best[np.lexsort((ids[best[:, 2]], best[:, 1], best[:, 0]))]
+                start = np.searchsorted(best[:, 0], best[:, 0])
+                best = best[np.arange(len(best)) - start < k]
+        # two members that chose each other are one pair
+        low, high = np.minimum(best[:, 0], best[:, 2]), np.maximum(best[:, 0], best[:, 2])
+        pair, back = np.unique(low * max(len(ids), 1) + high, return_inverse=True)
+        more = np.bincount(back, count[best[:, 0]] > k, len(pair)) > 0
+        low, high = np.divmod(pair, max(len(ids), 1))
+        a, b = ids[low], ids[high]
+        yield pa.record_batch(
+            [pa.array(element[low]), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(more)],
+            ["element", "a", "b", "more"],
+        )
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            yield from run(held)
 
-    # the sets that groups hold, from one document each
-    one = census.join(nodes, "set_id").groupBy("set_id").agg(F.min(F.struct("doc_id", "text_id")).alias("one"))
-    one = one.select(F.col("one.doc_id").alias("own_id"), F.col("one.text_id").alias("own_text"))
-    mine = docs.join(one, docs["doc_id"].eqNullSafe(one["own_id"]) & (docs["text_id"] == one["own_text"]))
+    placed = groups.repartition(n_parts, "element").sortWithinPartitions("element")
+    placed = placed.select("element", "set_id", "n", "label", "sketch")
+    return placed.mapInArrow(tidy(some), "element long, a long, b long, more boolean")
+
+
+def _apart(flat: np.ndarray, begin: np.ndarray, words: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """In how many bits the sketches of members i and j differ, the larger one folded to the smaller."""
+    out = np.empty(len(i), np.int64)
+    swap = words[i] > words[j]
+    small, large = np.where(swap, j, i), np.where(swap, i, j)
+    kind = words[small] * 2 + (words[large] > words[small])
+    for code in np.unique(kind):
+        w, folded = divmod(int(code), 2)
+        at = np.flatnonzero(kind == code)
+        step = max(1, (1 << 20) // w)
+        for x in range(0, len(at), step):
+            some = at[x : x + step]
+            place = np.arange(w)
+            bits = flat[begin[small[some]][:, None] + place] ^ flat[begin[large[some]][:, None] + place]
+            if folded:
+                bits ^= flat[begin[large[some]][:, None] + place + w]
+            out[some] = np.bitwise_count(bits).sum(1, dtype=np.int64)
+    return out
+
+
+MARKS = 1 << 22
+
+
+def _mark(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    key = mixed(a.view(np.uint64) + mixed(b.view(np.uint64)))
+    return (key % np.uint64(MARKS)).astype(np.int64)
+
+
+def _elements(docs: DataFrame, wanted: DataFrame, counts: np.ndarray, size: int) -> DataFrame:
+    """The ordered sets (set_id, elements) of the wanted (doc_id, text_id), and of a few others.
+
+    The documents are filtered by a table of MARKS bits, whose size is fixed; with more wanted
+    documents than it can tell apart, more sets come along, which do no harm.
+    """
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mark = np.unique(_mark(np.asarray(batch.column("doc_id")), np.asarray(batch.column("text_id"))))
+            word, bit = np.divmod(mark, 64)
+            value = np.left_shift(np.uint64(1), bit.astype(np.uint64)).view(np.int64)
+            yield pa.record_batch([pa.array(word), pa.array(value)], ["word", "bits"])
+
+    ids = wanted.select(F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), "text_id")
+    rows = ids.mapInArrow(tidy(marks), "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
+    table = np.zeros(MARKS // 64, np.int64)
+    table[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    bits = np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
+    packed = np.packbits(bits)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(packed).astype(bool)
         for batch in batches:
-            for _, t in pieces(batch):
+            mark = _mark(np.asarray(batch.column("mark_id")), np.asarray(batch.column("text_id")))
+            for _, t in pieces(batch.filter(pa.array(known[mark]))):
                 s = Sets(t, size)
                 ordered = s.ordered(counts)
                 blobs = [ordered[a:b].tobytes() for a, b in zip(s.first[:-1], s.first[1:], strict=True)]
                 yield pa.record_batch([pa.array(s.ids), pa.array(blobs, pa.binary())], ["set_id", "elements"])
 
-    elements = stored(mine.select("text").mapInArrow(sets, "set_id long, elements binary"), "elements")
-    tried = None
-    links = None
-    for turn in range(ROUNDS + 1):
+    marked = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("mark_id"), "text_id", "text")
+    return stored(marked.mapInArrow(tidy(sets), "set_id long, elements binary"), "elements")
+
+
+def _named(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, text_id, set_id, n and the component's label of every row; a table in the shared folder."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("text_id", F.xxhash64("text"))
+    census, counts = _census(docs, size)
+    groups = _groups(docs, counts, size, percent)
+    # the sets that groups hold, with one document of each
+    one = F.min(F.struct("doc_id", "text_id", "n", "sketch")).alias("one")
+    nodes = census.join(groups.select("set_id").distinct(), "set_id").groupBy("set_id").agg(one)
+    nodes = stored(nodes.select("set_id", "one.*"), "nodes")
+    labels = stored(nodes.select("set_id", F.col("set_id").alias("label")), "labels")
+
+    tried, have, k = None, None, 0
+    while True:
         known = groups.join(labels, "set_id")
         spread = known.groupBy("element").agg(
             F.min("label").alias("low"),
             F.max("label").alias("high"),
-            F.min(F.struct(F.xxhash64("set_id", F.lit(turn)).alias("draw"), "set_id", "n", "label")).alias("leader"),
+            F.min(F.struct(F.xxhash64("set_id").alias("draw"), "set_id", "n")).alias("leader"),
         )
         spread = spread.filter(F.col("low") != F.col("high")).select("element", "leader")
-        groups = stored(groups.join(spread.select("element"), "element"), "groups")
-        if groups.isEmpty():
-            break
-        if turn < ROUNDS:
-            near = known.join(spread, "element").filter(F.col("label") != F.col("leader.label"))
+        if k == 0:
+            near = known.join(spread, "element").filter(F.col("set_id") != F.col("leader.set_id"))
             near = near.filter(_may_link(F.col("n"), F.col("leader.n"), percent))
-            pairs = near.select(F.col("leader.set_id").alias("a"), F.col("set_id").alias("b"), "leader.draw")
-            if turn == 0:  # in families all groups tend to have the same few members in front
-                pairs = pairs.groupBy("b").agg(F.min_by("a", "draw").alias("a"))
-            pairs = pairs.select("a", "b").distinct()
+            pairs = near.groupBy(F.col("set_id").alias("b")).agg(F.min_by("leader.set_id", "leader.draw").alias("a"))
+            likely, more = stored(_likely(pairs.select("a", "b"), nodes, percent), "likely"), True
         else:
-            left = groups.join(labels, "set_id")
-            right = left.select(
-                "element", F.col("set_id").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("a_label")
-            )
-            pairs = left.join(right, "element").filter(
-                (F.col("a") < F.col("set_id")) & (F.col("label") != F.col("a_label"))
-            )
-            pairs = pairs.filter(_may_link(F.col("n"), F.col("a_n"), percent))
-            pairs = pairs.select("a", F.col("set_id").alias("b")).distinct()
+            open_ = known.join(spread.select("element"), "element").select("element", "set_id", "n", "label")
+            partners = _partners(open_.join(nodes.select("set_id", "sketch"), "set_id"), k, percent)
+            partners = stored(partners, "partners")
+            # a group whose members have all met their likely partners is done
+            groups = stored(groups.join(partners.filter("more").select("element").distinct(), "element"), "groups")
+            more = not groups.isEmpty()
+            likely = stored(partners.select("a", "b").distinct(), "likely")
         if tried is not None:
             gone = tried.union(tried.select("b", "a"))
-            pairs = pairs.join(gone, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(_verified(pairs, elements, counts, percent), "found")
-        tried = pairs if tried is None else tried.union(pairs)
-        if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            labels = components(nodes, links)
-    named = census.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+            likely = stored(likely.join(gone, ["a", "b"], "left_anti"), "likely")
+        if not likely.isEmpty():
+            wanted = likely.select(F.col("a").alias("set_id")).union(likely.select("b")).distinct()
+            if have is not None:
+                wanted = wanted.join(have.select("set_id"), "set_id", "left_anti")
+            wanted = stored(nodes.join(wanted, "set_id").select("doc_id", "text_id"), "wanted")
+            if not wanted.isEmpty():
+                fresh = _elements(docs, wanted, counts, size)
+                have = fresh if have is None else have.union(fresh)
+            links = stored(_verified(likely, have, counts, percent), "found")
+            tried = likely if tried is None else tried.union(likely)
+            if not links.isEmpty():
+                labels = _joined(labels, links)
+        if not more:
+            break
+        k = 1 if k == 0 else 8 * k
+    named = census.drop("sketch").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     return stored(named, "named")
 
 
