@@ -71,7 +71,7 @@ class Blocks:
 
     def finish(self, answers: DataFrame, make: Callable[[pa.Table, list], pa.Table], schema: str) -> DataFrame:
         """Result rows from each block and its answers."""
-        empty = schema_of(schema, self.rows.sparkSession)
+        empty = schema_of(schema)
 
         def run(table: pa.Table, got: pa.Table) -> pa.Table:
             if not len(table):
@@ -83,7 +83,7 @@ class Blocks:
         return self.rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
-def schema_of(schema: str, spark) -> pa.Schema:
+def schema_of(schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 

@@ -148,14 +148,15 @@ def _totals(came: list[tuple[int, int, bytes]], kind: int, keys: np.ndarray, n:
 
 WORD_BYTES, PAIR_BYTES = 6, 5
 
+#: One row for each block: what its documents need to be scored, and its share of N, V and the histogram.
 COUNTED = (
-    "doc_id long, held_out boolean, n_tokens long, n_known long, log_sum double, "
-    "counts binary, new_words long, cells binary"
+    "doc_ids array<long>, held_out array<boolean>, n_tokens array<long>, n_known array<long>, "
+    "log_sums array<double>, counts binary, train_tokens long, train_docs long, new_words long, cells binary"
 )
 
 
 def _counted(docs: DataFrame) -> DataFrame:
-    """For each document the counts that its score needs, see COUNTED."""
+    """The counts that the scores need, see COUNTED."""
     blocks = Blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     n = blocks.n
 
@@ -182,25 +183,20 @@ def _counted(docs: DataFrame) -> DataFrame:
         first = view.first[:-1]
         log_sum = np.add.reduceat(np.log10(c_word + 0.1), first)
         known = np.add.reduceat(c_word > 0, first, dtype=np.int64)
-        cells = _cells(view, totals, c_word, c_pair, pair)
-        nothing = b""
-        words64, pairs64 = totals[view.token], both[pair]
-        bounds = view.first.tolist()
-        counts = [_planes(words64[a:b]) + _planes(pairs64[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        counts = [zstandard.compress(x, 6) for x in counts]
-        rows = len(view.n)
-        return pa.table(
-            {
-                "doc_id": pa.array(view.ids, pa.int64()),
-                "held_out": pa.array(view.out),
-                "n_tokens": pa.array(view.n),
-                "n_known": pa.array(known),
-                "log_sum": pa.array(log_sum),
-                "counts": pa.array(counts, pa.binary()),
-                "new_words": pa.array([int((owns & (totals > 0)).sum())] + [0] * (rows - 1), pa.int64()),
-                "cells": pa.array([cells] + [nothing] * (rows - 1), pa.binary()),
-            }
-        )
+        counts = _planes(totals[view.token]) + _planes(both[pair])
+        one = {
+            "doc_ids": view.ids,
+            "held_out": view.out.tolist(),
+            "n_tokens": view.n.tolist(),
+            "n_known": known.tolist(),
+            "log_sums": log_sum.tolist(),
+            "counts": zstandard.compress(counts, 9),
+            "train_tokens": int(view.n[~view.out].sum()),
+            "train_docs": int((~view.out).sum()),
+            "new_words": int((owns & (totals > 0)).sum()),
+            "cells": _cells(view, totals, c_word, c_pair, pair),
+        }
+        return pa.Table.from_pylist([one])
 
     first = answered(blocks.ask(ask), _count(WORD_BYTES, 1))
     second = answered(blocks.ask_again(first, ask_pairs), _count(PAIR_BYTES, 2))
@@ -269,10 +265,8 @@ def score(docs: DataFrame) -> DataFrame:
     path = shared_path(spark, "counts")
     _counted(docs).write.parquet(path)
     table = spark.read.schema(COUNTED).parquet(path)
-    sums = table.agg(
-        F.sum(F.when(~F.col("held_out"), F.col("n_tokens")).otherwise(0)).alias("n"), F.sum("new_words").alias("v")
-    ).first()
-    n, v = int(sums["n"] or 0), int(sums["v"] or 0)
+    sums = table.agg(*(F.sum(c).alias(c) for c in ("train_tokens", "train_docs", "new_words"))).first()
+    n, starts, v = (int(sums[c] or 0) for c in ("train_tokens", "train_docs", "new_words"))
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,35 +283,30 @@ def score(docs: DataFrame) -> DataFrame:
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = []
-            for m, starts, blob in zip(
-                batch.column("n_tokens").to_pylist(), batch.column("starts").to_pylist(), batch.column("counts").to_pylist(), strict=True
-            ):
-                blob = zstandard.decompress(blob)
+            for row in batch.to_pylist():
+                tokens = np.array(row["n_tokens"], np.int64)
+                first, m = np.cumsum(tokens) - tokens, int(tokens.sum())
+                blob = zstandard.decompress(row["counts"])
                 word = _unplanes(blob[: 8 * m], "u8").astype(np.float64)
                 both = _unplanes(blob[8 * m :], "u8").astype(np.float64)
                 before = np.empty(m)
                 before[1:] = word[:-1]
-                before[0] = starts
+                before[first] = starts  # an end closes each training document: so often was it a context
                 bucket = np.where(before > 0, 1 + np.floor(np.log2(np.maximum(before, 1))), 0).astype(int)
                 w = weights[bucket]
                 p = w[:, 0] / (v + 1) + w[:, 1] * word / max(n, 1) + w[:, 2] * both / np.maximum(before, 1)
-                made.append(float(np.log10(p).sum()))
-            tokens = np.asarray(batch.column("n_tokens"))
-            base = np.asarray(batch.column("log_sum")) - tokens * normal
-            yield pa.record_batch(
-                [
-                    *(batch.column(c) for c in ("doc_id", "held_out", "n_tokens", "n_known")),
-                    pa.array([n] * batch.num_rows, pa.int64()),
-                    pa.array(base),
-                    pa.array(made, pa.float64()),
-                ],
-                [c.split()[0] for c in SCORED.split(", ")],
-            )
-
-    # an end closes each training document, so it was seen as a first context that often
-    starts = table.agg(F.sum((~F.col("held_out")).cast("long"))).first()[0] or 0
-    ready = table.select(
-        "doc_id", "held_out", "n_tokens", "n_known", "log_sum", "counts", F.lit(float(starts)).alias("starts")
-    )
+                yield pa.record_batch(
+                    [
+                        pa.array(row["doc_ids"], pa.int64()),
+                        pa.array(row["held_out"], pa.bool_()),
+                        pa.array(tokens),
+                        pa.array(row["n_known"], pa.int64()),
+                        pa.array(np.full(len(tokens), n)),
+                        pa.array(np.array(row["log_sums"]) - tokens * normal),
+                        pa.array(np.add.reduceat(np.log10(p), first)),
+                    ],
+                    [c.split()[0] for c in SCORED.split(", ")],
+                )
+
+    ready = table.select("doc_ids", "held_out", "n_tokens", "n_known", "log_sums", "counts")
     return ready.mapInArrow(tidy(apply), SCORED)
