@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.llm.shared import partitions
-from claimweave.llm.text import PIECE, Rolling, Texts, Words, mixed, texts
+from claimweave.llm.text import PIECE, Rolling, Texts, Words, mixed, pieces, texts, tidy
 
 SAMPLES = 128
 ROWS = 1 << 13  # term rows handled at once
@@ -33,23 +33,39 @@ COMPARED = (
 )
 
 _hash = Rolling(9)
-_salts = mixed(np.arange(1, 3 * SAMPLES + 1, dtype=np.uint64)).reshape(3, SAMPLES)
+_salts = mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64))
+_BITS = np.uint64((1 << 21) - 1)
 
 
-def _uniform(bits: np.ndarray) -> np.ndarray:
-    return (bits.astype(np.float64) + 0.5) * 2.0**-32
+def _uniform(bits: np.ndarray, shift: int) -> np.ndarray:
+    """21 bits of a hash as a number in (0, 1)."""
+    u = ((bits >> np.uint64(shift)) & _BITS).astype(np.float32)
+    u += np.float32(0.5)
+    u *= np.float32(2.0**-21)
+    return u
 
 
 def _values(terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """ln a for each row's term and weight, and each sample."""
-    low = np.uint64(0xFFFFFFFF)
-    first, second = mixed(terms[:, None] ^ _salts[0]), mixed(terms[:, None] + _salts[1])
-    third = mixed(terms[:, None] ^ _salts[2])
-    r = -np.log(_uniform(first >> np.uint64(32)) * _uniform(first & low))
-    c = -np.log(_uniform(second >> np.uint64(32)) * _uniform(second & low))
-    b = _uniform(third >> np.uint64(32))
-    t = np.floor(np.log(weights)[:, None] / r + b)
-    return np.log(c) - r * (t - b) - r
+    x = mixed(terms[:, None] ^ _salts)
+    r = _uniform(x, 0)
+    r *= _uniform(x, 21)
+    np.negative(np.log(r, out=r), out=r)
+    b = _uniform(x, 42)
+    x *= np.uint64(0xD1342543DE82EF95)
+    x ^= x >> np.uint64(32)
+    c = _uniform(x, 0)
+    c *= _uniform(x, 21)
+    np.negative(np.log(c, out=c), out=c)
+    np.log(c, out=c)
+    t = np.log(weights).astype(np.float32)[:, None] / r
+    t += b
+    np.floor(t, out=t)
+    t -= b
+    t += np.float32(1)
+    t *= r
+    c -= t
+    return c
 
 
 def signatures(t: Texts) -> np.ndarray:
@@ -99,14 +115,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id and the fingerprint of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from claimweave.llm.text import pieces
-
         for batch in batches:
             for part, t in pieces(batch):
                 made = pa.array([fingerprint(s) for s in signatures(t)], pa.string())
                 yield pa.record_batch([part.column("doc_id"), made], ["doc_id", "fingerprint"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fingerprint string")
+    return docs.select("doc_id", "text").mapInArrow(tidy(run), "doc_id long, fingerprint string")
 
 
 def _in_order(docs: DataFrame) -> DataFrame:
@@ -146,36 +160,6 @@ def compare(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = None  # the last row so far: id, text, signature
-
-        def finish(rows: list, after: list) -> pa.RecordBatch:
-            edited = []
-            for (_, text, _), (_, other, _) in zip(rows, after, strict=True):
-                k = len(text) // 3
-                edited.append(text[: len(text) - k] + other[:k])
-            changed = []
-            at = 0
-            while at < len(edited):  # an edited text can be no longer than its original
-                to, size = at, 0
-                while to < len(edited) and (to == at or size < PIECE):
-                    size += len(edited[to])
-                    to += 1
-                changed.append(signatures(_joined(edited[at:to])))
-                at = to
-            changed = np.concatenate(changed)
-            own, nxt = np.stack([r[2] for r in rows]), np.stack([r[2] for r in after])
-            return pa.record_batch(
-                [
-                    pa.array([r[0] for r in rows], pa.int64()),
-                    pa.array([len(r[1]) for r in rows], pa.int64()),
-                    pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited]),
-                    pa.array([fingerprint(s) for s in own]),
-                    pa.array([fingerprint(s) for s in changed]),
-                    pa.array((own == changed).mean(1)),
-                    pa.array((own == nxt).mean(1)),
-                ],
-                [c.split()[0] for c in COMPARED.split(", ")],
-            )
-
         over = False
         for batch in batches:
             at = 0
@@ -184,18 +168,35 @@ def compare(docs: DataFrame) -> DataFrame:
             while at < len(ids) and not over:
                 to = int(np.searchsorted(every.offsets, every.offsets[at] + PIECE // 2, "right")) - 1
                 to = min(max(to, at + 1), len(ids))
-                offsets = every.offsets[at : to + 1]
-                t = Texts(every.data[offsets[0] : offsets[-1]], offsets - offsets[0])
                 if 1 in guest[at:to]:
                     to = at + guest[at:to].index(1) + 1
-                    t = Texts(t.data[: every.offsets[to] - offsets[0]], t.offsets[: to - at + 1])
                     over = True
-                made = signatures(t)
-                rows = [(ids[i], t.of(i - at).decode(), made[i - at]) for i in range(at, to)]
-                rows = [*([waiting] if waiting else []), *rows]
-                if len(rows) > 1:
-                    yield finish(rows[:-1], rows[1:])
-                waiting = rows[-1]
+                own = [every.of(i).decode() for i in range(at, to)]
+                before = [*([waiting] if waiting else []), *zip(ids[at:to], own, strict=True)]
+                edited = []
+                for row, after in zip(before[:-1], before[1:], strict=True):
+                    text, k = row[1], len(row[1]) // 3
+                    edited.append(text[: len(text) - k] + after[1][:k])
+                # one call for both, as they share most terms
+                made = signatures(_joined([*own, *edited]))
+                old = [waiting[2]] if waiting else []
+                sign = np.stack([*old, *made[: len(own)]])
+                changed = made[len(own) :]
+                if edited:
+                    rows, signs, after = before[:-1], sign[:-1], sign[1:]
+                    yield pa.record_batch(
+                        [
+                            pa.array([r[0] for r in rows], pa.int64()),
+                            pa.array([len(r[1]) for r in rows], pa.int64()),
+                            pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited]),
+                            pa.array([fingerprint(s) for s in signs]),
+                            pa.array([fingerprint(s) for s in changed]),
+                            pa.array((signs == changed).mean(1)),
+                            pa.array((signs == after).mean(1)),
+                        ],
+                        [c.split()[0] for c in COMPARED.split(", ")],
+                    )
+                waiting = (ids[to - 1], own[-1], sign[-1])
                 at = to
 
-    return _in_order(docs).select("doc_id", "text", "guest").mapInArrow(run, COMPARED)
+    return _in_order(docs).select("doc_id", "text", "guest").mapInArrow(tidy(run), COMPARED)
