@@ -9,18 +9,18 @@ linked with nothing. Two sets are linked if 100 * |both| >= percent * |either|.
 2. Of every set of n elements the first n - ceil(percent% of n) + 1 go to the bucket of their hash.
    Linked sets meet there, in a group for each element that they share. Copies have one set id and
    count once.
-3. Each set first meets one leader: the first, in an order that all groups share, that its groups
-   have. A family of near copies is mostly joined by that, with one comparison for each member.
-4. Links make components. Groups that lie in one component are done, whatever their size. In the
-   others each member meets the members of other components that its sketch doesn't rule out: the
-   likeliest one, then the 8 likeliest, then 64, until none has any left. A sketch holds four bits or
-   more for each element, the parity of the elements that fall on it; sets whose sketches differ in
-   more bits than linked sets can differ in elements are not linked. So no link is lost that would
-   join two components.
-5. Pairs that the sketches leave are compared exactly. The ordered sets of a leader's partners form
-   a prefix tree, kept as sorted sequences with the length that each shares with the one before: a
-   shared beginning is compared with the leader once, and a sequence is left as soon as what
-   remains of it can't reach the overlap that a link needs.
+3. Elements with the same members make one group. Groups are cut into salted blocks of about BLOCK
+   sets, and each pair of blocks is work of its own, dealt over all tasks. In it every two sets are
+   compared by their sketches: a sketch holds four bits or more for each element, the parity of the
+   elements that fall on it; sets whose sketches differ in more bits than linked sets can differ in
+   elements are not linked. A pair belongs to the first group, by the element's hash, that it shares,
+   so it goes on from there only.
+4. Pairs that the sketches leave are compared exactly, within their pair of blocks. Its ordered sets
+   form a prefix tree, kept as sorted sequences with the length that each shares with the one before:
+   a shared beginning is compared with a set once, and a sequence is left as soon as what remains of
+   it can't reach the overlap that a link needs.
+5. All links are kept, with their overlap: `join` lists them. They make a document's number of links,
+   copies included, and the components.
 
 Repeated rows are copies of each other. An empty table gives no rows. Other columns are ignored. A
 component is named by its smallest doc_id; rows without one don't name a component unless all its
@@ -43,7 +43,7 @@ SIZE = 5
 PERCENT = 80
 CELLS = 1 << 20
 SLICE = 1 << 14  # cells that are added up together
-CHUNK = 256  # members compared in one call
+BLOCK = 256  # sets of a group that meet each other in one piece of work
 PAIRS = 1 << 21  # pairs of sketches held at once
 
 _bytes, _words = Rolling(51), Rolling(52)
@@ -102,14 +102,6 @@ def most_apart(n: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
     return np.where(need <= np.minimum(n, other), total - 2 * need, -1)
 
 
-def _fold(sketch: np.ndarray, words: int) -> np.ndarray:
-    """Sketches (rows of 64-bit words) with half as many bits, again and again."""
-    while sketch.shape[1] > words:
-        half = sketch.shape[1] // 2
-        sketch = sketch[:, :half] ^ sketch[:, half:]
-    return sketch
-
-
 def _census(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
     """doc_id, text_id, set_id, n and sketch of every row; and the corpus counts of the cells."""
     names = ["doc_id", "text_id", "set_id", "n", "sketch", "slice"]
@@ -224,22 +216,20 @@ def _groups(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Dat
     return stored(sent.select("blob").mapInArrow(tidy(meet), "element long, set_id long, n long"), "groups")
 
 
-def tree_overlaps(leader: np.ndarray, members: list[np.ndarray], counts: np.ndarray, percent: int) -> list[bool]:
-    """Whether each member's set is linked with the leader's; all are in the global order."""
-    if not members:
-        return []
-    known = np.sort(leader)
+def _tree_key(own: np.ndarray, counts: np.ndarray) -> bytes:
+    """Orders sets as the paths of the prefix tree."""
+    out = np.empty(len(own), [("count", ">u8"), ("element", ">u8")])
+    out["count"], out["element"] = counts[_cell(own)], own
+    return out.tobytes()
 
-    def rank(x: np.ndarray) -> np.ndarray:
-        out = np.empty(len(x), [("count", ">u8"), ("element", ">u8")])
-        out["count"], out["element"] = counts[_cell(x)], x
-        return out
 
-    order = sorted(range(len(members)), key=lambda i: rank(members[i]).tobytes())
-    linked = [False] * len(members)
+def tree_counts(leader: np.ndarray, members: list[np.ndarray], percent: int) -> list[int]:
+    """How many elements each member shares with the leader, 0 for those that aren't linked with it; members
+    come in the order of the tree, their elements in the global order."""
+    known = np.sort(leader)
+    out = []
     before, overlap = np.zeros(0, np.uint64), np.zeros(1, np.int64)  # the last path of the tree and its overlaps
-    for i in order:
-        own = members[i]
+    for own in members:
         both = min(len(own), len(before))
         differ = np.flatnonzero(own[:both] != before[:both])
         shared = int(differ[0]) if len(differ) else both
@@ -248,36 +238,183 @@ def tree_overlaps(leader: np.ndarray, members: list[np.ndarray], counts: np.ndar
         if overlap[shared] + min(len(own) - shared, len(leader) - overlap[shared]) < need:
             # the subtree is left; the path up to here stays for the next member
             before, overlap = before[:shared], overlap[: shared + 1]
+            out.append(0)
             continue
         rest = own[shared:]
         place = np.minimum(np.searchsorted(known, rest), len(known) - 1)
         hits = np.cumsum(known[place] == rest)
         overlap = np.concatenate([overlap[: shared + 1], overlap[shared] + hits])
         before = own
-        linked[i] = bool(overlap[-1] >= need)
+        out.append(int(overlap[-1]) if overlap[-1] >= need else 0)
+    return out
+
+
+def tree_overlaps(leader: np.ndarray, members: list[np.ndarray], counts: np.ndarray, percent: int) -> list[bool]:
+    """Whether each member's set is linked with the leader's; all are in the global order."""
+    order = sorted(range(len(members)), key=lambda i: _tree_key(members[i], counts))
+    linked = [False] * len(members)
+    for i, both in zip(order, tree_counts(leader, [members[i] for i in order], percent), strict=True):
+        linked[i] = both > 0
     return linked
 
 
-def _verified(pairs: DataFrame, elements: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
-    """The (a, b) of `pairs` (leader, member) that are linked. Hot leaders are cut into chunks of members."""
-    sizes = pairs.groupBy("a").agg((F.floor(F.count("*") / CHUNK) + 1).cast("int").alias("chunks"))
-    member = pairs.join(sizes, "a").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int"))
-    rows = member.join(elements, member["b"] == elements["set_id"]).select("a", "b", "chunk", "elements")
-    heads = sizes.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    heads = heads.join(elements, heads["a"] == elements["set_id"]).select(
-        "a", F.lit(None).cast("long").alias("b"), "chunk", "elements"
+def _whole(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
+    """The rows of sorted batches, those of one key never apart."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        if held is not None:
+            table = pa.concat_tables([held, table])
+        first = _firsts(table, key)
+        if len(first) > 1:
+            yield table.slice(0, first[-1])
+        held = table.slice(first[-1])
+    if held is not None:
+        yield held
+
+
+def _firsts(table: pa.Table, key: list[str]) -> np.ndarray:
+    """Where each key's rows begin."""
+    new = np.zeros(len(table), bool)
+    new[:1] = True
+    for c in key:
+        x = table.column(c).to_numpy()
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+PLACE = ["element", "i", "j"]  # a group and two of its blocks
+
+
+def _candidates(groups: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The sets of each pair of blocks that may have links there (element, i, j, set_id), each with the ids of its
+    `partners`: every pair of sets that shares a group and that sketches don't rule out, once."""
+    same = [F.bit_xor(F.xxhash64("set_id")).alias("x"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("y")]
+    sizes = groups.groupBy("element").agg(F.count("*").alias("m"), *same).filter("m > 1")
+    # elements with the very same members make one group
+    kept = sizes.groupBy("m", "x", "y").agg(F.min("element").alias("element"))
+    kept = kept.select("element", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    own = F.sort_array(F.collect_list(F.struct("element", "blocks"))).alias("own")
+    lists = groups.join(kept, "element").groupBy("set_id").agg(own)
+    rows = nodes.select("set_id", "n", "sketch").join(lists, "set_id").select("*", F.posexplode("own").alias("at", "group"))
+    block = F.pmod(F.xxhash64("set_id", "group.element"), F.col("group.blocks")).cast("int")
+    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("group.blocks") - 1)))
+    rows = rows.select(
+        "group.element",
+        F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"),
+        "set_id",
+        "n",
+        "block",
+        "sketch",
+        F.slice("own.element", F.lit(1), F.col("at")).alias("before"),
     )
 
-    def run(table: pa.Table) -> pa.Table:
-        a, b = table.column("a")[0].as_py(), table.column("b").to_pylist()
-        sets = [np.frombuffer(x, np.uint64) for x in table.column("elements").to_pylist()]
-        leader = next((s for s, x in zip(sets, b, strict=True) if x is None), None)
-        asked = [i for i, x in enumerate(b) if x is not None]
-        linked = tree_overlaps(leader, [sets[i] for i in asked], counts, percent) if leader is not None else []
-        found = [b[i] for i, yes in zip(asked, linked, strict=False) if yes]
-        return pa.table({"a": pa.array([a] * len(found), pa.int64()), "b": pa.array(found, pa.int64())})
-
-    return rows.unionByName(heads).groupBy("a", "chunk").applyInArrow(run, "a long, b long")
+    def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids, n, block = (table.column(c).to_numpy() for c in ("set_id", "n", "block"))
+        inside = table.column("i").to_numpy() == table.column("j").to_numpy()
+        sketch = texts(table.column("sketch"))
+        flat, begin = np.frombuffer(sketch.data.tobytes(), np.uint64), sketch.offsets[:-1] // 8
+        words = np.diff(sketch.offsets) // 8
+        before = table.column("before")
+        earlier: dict[int, frozenset] = {}
+
+        def met(x: int) -> frozenset:
+            if x not in earlier:
+                earlier[x] = frozenset(before[x].as_py())
+            return earlier[x]
+
+        first = _firsts(table, PLACE)
+        size = np.diff(np.append(first, len(ids)))
+        left = np.repeat(first + size, size) - np.arange(len(ids)) - 1  # members after each one in its pair of blocks
+        found: list[np.ndarray] = []
+        held: list[np.ndarray] = []
+        ahead, waiting = 1, 0
+        rows = np.flatnonzero(left >= 1)
+        while len(rows):
+            held.append(np.stack([rows, rows + ahead], 1))
+            waiting += len(rows)
+            ahead += 1
+            rows = rows[left[rows] >= ahead]
+            if waiting >= PAIRS or not len(rows):
+                a, b = np.concatenate(held).T
+                held, waiting = [], 0
+                most = most_apart(n[a], n[b], percent)
+                keep = (most >= 0) & (inside[a] | (block[a] != block[b]))
+                a, b, most = a[keep], b[keep], most[keep]
+                keep = _apart(flat, begin, words, a, b) <= most
+                a, b = a[keep], b[keep]
+                new = [met(x).isdisjoint(met(y)) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+                found.append(np.stack([a, b], 1)[np.array(new, bool)])
+        if not found:
+            return
+        pair = np.concatenate(found)
+        pair = pair[np.lexsort((pair[:, 1], pair[:, 0]))]
+        part = np.unique(pair)
+        low, high = np.searchsorted(pair[:, 0], part), np.searchsorted(pair[:, 0], part, "right")
+        partner = ids[pair[:, 1]]
+        blobs = [partner[x:y].tobytes() for x, y in zip(low.tolist(), high.tolist(), strict=True)]
+        out = table.select([*PLACE, "set_id"]).take(pa.array(part)).append_column("partners", pa.array(blobs, pa.binary()))
+        yield from out.combine_chunks().to_batches()
+
+    def all_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole(batches, PLACE):
+            yield from run(table)
+
+    placed = rows.repartition(partitions(groups.sparkSession), *PLACE).sortWithinPartitions(*PLACE, "set_id")
+    found = placed.mapInArrow(tidy(all_), "element long, i int, j int, set_id long, partners binary")
+    return stored(found, "candidates")
+
+
+def _verified(candidates: DataFrame, elements: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """What each pair of blocks has of each set with links there: `root`, a set that these lead to, the same for all
+    that they lead to; `near`, how many rows are linked; `partners` and `overlaps`, each link at one of its ends."""
+
+    def run(table: pa.Table) -> Iterator[tuple[int, int, int, bytes, bytes]]:
+        blobs = table.column("elements").to_pylist()
+        sets = [np.frombuffer(x, np.uint64) for x in blobs]
+        order = sorted(range(len(sets)), key=lambda i: _tree_key(sets[i], counts))
+        ids, copies = table.column("set_id").to_pylist(), table.column("copies").to_pylist()
+        place = {ids[i]: rank for rank, i in enumerate(order)}
+        root = list(range(len(ids)))
+        near = [0] * len(ids)
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        links = []
+        for x, blob in enumerate(table.column("partners").to_pylist()):
+            ranks = sorted(place[y] for y in np.frombuffer(blob, np.int64).tolist())
+            both = tree_counts(sets[x], [sets[order[r]] for r in ranks], percent)
+            yes = [(order[r], c) for r, c in zip(ranks, both, strict=True) if c]
+            for y, _ in yes:
+                near[x] += copies[y]
+                near[y] += copies[x]
+                root[top(y)] = top(x)
+            links.append(yes)
+        for x, yes in enumerate(links):
+            if near[x]:
+                partners = np.array([ids[y] for y, _ in yes], np.int64).tobytes()
+                yield ids[x], ids[top(x)], near[x], partners, np.array([c for _, c in yes], np.int32).tobytes()
+
+    def all_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole(batches, PLACE):
+            first = [*_firsts(table, PLACE).tolist(), len(table)]
+            out = [r for a, b in zip(first[:-1], first[1:], strict=True) for r in run(table.slice(a, b - a))]
+            if out:
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                arrays = [pa.array(c, kind) for c, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.record_batch(arrays, ["set_id", "root", "near", "partners", "overlaps"])
+
+    rows = candidates.join(elements, "set_id").select(*PLACE, "set_id", "partners", "copies", "elements")
+    placed = rows.repartition(partitions(rows.sparkSession), *PLACE).sortWithinPartitions(*PLACE, "set_id")
+    found = placed.mapInArrow(tidy(all_), "set_id long, root long, near long, partners binary, overlaps binary")
+    return stored(found, "found")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -300,104 +437,32 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """(set_id, label) after new links (a, b) between sets; only the components that they join are looked at."""
-    own = labels.toDF("a", "a_label")
-    other = labels.toDF("b", "b_label")
-    steps = links.join(own, "a").join(other, "b").filter(F.col("a_label") != F.col("b_label"))
-    steps = steps.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct()
-    moved = components(steps).toDF("label", "to")
-    moved = labels.join(moved, "label", "left").select("set_id", F.coalesce("to", "label").alias("label"))
-    return stored(moved, "labels")
-
-
 def link(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
+    """doc_id, n_shingles, component_id and n_links, the number of other rows that it is linked with, of every document."""
     named = _named(docs, size, percent)
     least = named.filter(F.col("n") > 0).groupBy("label").agg(F.min("doc_id").alias("least"))
     return named.join(least, "label", "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+        "n_links",
     )
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that their sketches don't rule out."""
-    sketch = nodes.select("set_id", "n", "sketch")
-    both = pairs.join(sketch.toDF("a", "a_n", "a_sketch"), "a").join(sketch.toDF("b", "b_n", "b_sketch"), "b")
+def join(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """All links (a, b, overlap) between different sets, a < b; and the members of the sets: doc_id, set_id and
+    n_shingles of every document. Documents of one set are copies, linked unless the set is empty."""
+    census, links = _linked(docs, size, percent)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            most = most_apart(np.asarray(batch.column("a_n")), np.asarray(batch.column("b_n")), percent)
-            keep = []
-            for x, y, m in zip(batch.column("a_sketch").to_pylist(), batch.column("b_sketch").to_pylist(), most, strict=True):
-                x, y = np.frombuffer(x, np.uint64)[None], np.frombuffer(y, np.uint64)[None]
-                words = min(x.shape[1], y.shape[1])
-                keep.append(bool(np.bitwise_count(_fold(x, words) ^ _fold(y, words)).sum() <= m))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for own, ids, both in zip(*(batch.column(c).to_pylist() for c in batch.schema.names), strict=True):
+                ids = np.frombuffer(ids, np.int64)
+                arrays = (np.minimum(own, ids), np.maximum(own, ids), np.frombuffer(both, np.int32).astype(np.int64))
+                yield pa.record_batch([pa.array(x) for x in arrays], ["a", "b", "overlap"])
 
-    return both.select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch").mapInArrow(tidy(run), "a long, b long")
-
-
-def _partners(groups: DataFrame, k: int, percent: int) -> DataFrame:
-    """For each member of a group its k likeliest partners of other components: (element, a, b), and whether
-    it has more. Small groups are handled together, a large one in blocks of pairs."""
-    n_parts = partitions(groups.sparkSession)
-
-    def run(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(batches)
-        element, ids, n, label = (table.column(c).to_numpy() for c in ("element", "set_id", "n", "label"))
-        sketch = texts(table.column("sketch"))
-        flat, begin = np.frombuffer(sketch.data.tobytes(), np.uint64), sketch.offsets[:-1] // 8
-        words = np.diff(sketch.offsets) // 8
-        first = np.flatnonzero(np.diff(element, prepend=~element[:1]))
-        size = np.diff(np.append(first, len(element)))
-        left = np.repeat(first + size, size) - np.arange(len(element)) - 1  # members after each one in its group
-
-        best = np.zeros((0, 3), np.int64)  # member, how far apart, partner
-        count = np.zeros(len(element), np.int64)
-        held: list[np.ndarray] = []
-        ahead = 1
-        rows = np.flatnonzero(left >= 1)
-        while len(rows):
-            held.append(np.stack([rows, rows + ahead], 1))
-            ahead += 1
-            rows = rows[left[rows] >= ahead]
-            if sum(map(len, held)) >= PAIRS or not len(rows):
-                i, j = np.concatenate(held).T
-                held = []
-                most = most_apart(n[i], n[j], percent)
-                keep = (label[i] != label[j]) & (most >= 0)
-                i, j, most = i[keep], j[keep], most[keep]
-                apart = _apart(flat, begin, words, i, j)
-                keep = apart <= most
-                i, j, apart = i[keep], j[keep], apart[keep]
-                count += np.bincount(i, minlength=len(count)) + np.bincount(j, minlength=len(count))
-                new = np.stack([np.concatenate(x) for x in ((i, j), (apart, apart), (j, i))], 1)
-                best = np.concatenate([best, new])
-                best = best[np.lexsort((ids[best[:, 2]], best[:, 1], best[:, 0]))]
-                start = np.searchsorted(best[:, 0], best[:, 0])
-                best = best[np.arange(len(best)) - start < k]
-        # two members that chose each other are one pair
-        low, high = np.minimum(best[:, 0], best[:, 2]), np.maximum(best[:, 0], best[:, 2])
-        pair, back = np.unique(low * max(len(ids), 1) + high, return_inverse=True)
-        more = np.bincount(back, count[best[:, 0]] > k, len(pair)) > 0
-        low, high = np.divmod(pair, max(len(ids), 1))
-        a, b = ids[low], ids[high]
-        yield pa.record_batch(
-            [pa.array(element[low]), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(more)],
-            ["element", "a", "b", "more"],
-        )
-
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
-        if held:
-            yield from run(held)
-
-    placed = groups.repartition(n_parts, "element").sortWithinPartitions("element")
-    placed = placed.select("element", "set_id", "n", "label", "sketch")
-    return placed.mapInArrow(tidy(some), "element long, a long, b long, more boolean")
+    listed = links.select("set_id", "partners", "overlaps").mapInArrow(tidy(pairs), "a long, b long, overlap long")
+    return listed, census.select("doc_id", "set_id", F.col("n").alias("n_shingles"))
 
 
 def _apart(flat: np.ndarray, begin: np.ndarray, words: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -429,10 +494,10 @@ def _mark(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _elements(docs: DataFrame, wanted: DataFrame, counts: np.ndarray, size: int) -> DataFrame:
-    """The ordered sets (set_id, elements) of the wanted (doc_id, text_id), and of a few others.
+    """The ordered sets (set_id, copies, elements) of `wanted`, one row for each, made from its document.
 
-    The documents are filtered by a table of MARKS bits, whose size is fixed; with more wanted
-    documents than it can tell apart, more sets come along, which do no harm.
+    The documents are filtered by a table of MARKS bits, whose size is fixed; others that pass, such
+    as copies of a wanted set, go when the wanted documents are joined.
     """
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -453,69 +518,53 @@ def _elements(docs: DataFrame, wanted: DataFrame, counts: np.ndarray, size: int)
         known = np.unpackbits(packed).astype(bool)
         for batch in batches:
             mark = _mark(np.asarray(batch.column("mark_id")), np.asarray(batch.column("text_id")))
-            for _, t in pieces(batch.filter(pa.array(known[mark]))):
+            for part, t in pieces(batch.filter(pa.array(known[mark]))):
                 s = Sets(t, size)
                 ordered = s.ordered(counts)
                 blobs = [ordered[a:b].tobytes() for a, b in zip(s.first[:-1], s.first[1:], strict=True)]
-                yield pa.record_batch([pa.array(s.ids), pa.array(blobs, pa.binary())], ["set_id", "elements"])
+                yield pa.record_batch(
+                    [part.column("mark_id"), part.column("text_id"), pa.array(s.ids), pa.array(blobs, pa.binary())],
+                    ["mark_id", "text_id", "set_id", "elements"],
+                )
 
     marked = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("mark_id"), "text_id", "text")
-    return stored(marked.mapInArrow(tidy(sets), "set_id long, elements binary"), "elements")
+    made = marked.mapInArrow(tidy(sets), "mark_id long, text_id long, set_id long, elements binary")
+    asked = wanted.select("set_id", "copies", F.coalesce("doc_id", F.lit(-1)).alias("mark_id"), "text_id")
+    return stored(made.join(asked, ["mark_id", "text_id", "set_id"]).dropDuplicates(["set_id"]).select("set_id", "copies", "elements"), "elements")
 
 
-def _named(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, text_id, set_id, n and the component's label of every row; a table in the shared folder."""
+def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The census, and all links between its sets as _verified gives them; tables in the shared folder."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("text_id", F.xxhash64("text"))
     census, counts = _census(docs, size)
     groups = _groups(docs, counts, size, percent)
     # the sets that groups hold, with one document of each
     one = F.min(F.struct("doc_id", "text_id", "n", "sketch")).alias("one")
-    nodes = census.join(groups.select("set_id").distinct(), "set_id").groupBy("set_id").agg(one)
-    nodes = stored(nodes.select("set_id", "one.*"), "nodes")
-    labels = stored(nodes.select("set_id", F.col("set_id").alias("label")), "labels")
+    nodes = census.join(groups.select("set_id").distinct(), "set_id").groupBy("set_id").agg(one, F.count("*").alias("copies"))
+    nodes = stored(nodes.select("set_id", "copies", "one.*"), "nodes")
+    candidates = _candidates(groups, nodes, percent)
+    wanted = nodes.join(candidates.select("set_id").distinct(), "set_id").select("set_id", "copies", "doc_id", "text_id")
+    elements = _elements(docs, stored(wanted, "wanted"), counts, size)
+    return census, _verified(candidates, elements, counts, percent)
 
-    tried, have, k = None, None, 0
-    while True:
-        known = groups.join(labels, "set_id")
-        spread = known.groupBy("element").agg(
-            F.min("label").alias("low"),
-            F.max("label").alias("high"),
-            F.min(F.struct(F.xxhash64("set_id").alias("draw"), "set_id", "n")).alias("leader"),
-        )
-        spread = spread.filter(F.col("low") != F.col("high")).select("element", "leader")
-        if k == 0:
-            near = known.join(spread, "element").filter(F.col("set_id") != F.col("leader.set_id"))
-            near = near.filter(_may_link(F.col("n"), F.col("leader.n"), percent))
-            pairs = near.groupBy(F.col("set_id").alias("b")).agg(F.min_by("leader.set_id", "leader.draw").alias("a"))
-            likely, more = stored(_likely(pairs.select("a", "b"), nodes, percent), "likely"), True
-        else:
-            open_ = known.join(spread.select("element"), "element").select("element", "set_id", "n", "label")
-            partners = _partners(open_.join(nodes.select("set_id", "sketch"), "set_id"), k, percent)
-            partners = stored(partners, "partners")
-            # a group whose members have all met their likely partners is done
-            groups = stored(groups.join(partners.filter("more").select("element").distinct(), "element"), "groups")
-            more = not groups.isEmpty()
-            likely = stored(partners.select("a", "b").distinct(), "likely")
-        if tried is not None:
-            gone = tried.union(tried.select("b", "a"))
-            likely = stored(likely.join(gone, ["a", "b"], "left_anti"), "likely")
-        if not likely.isEmpty():
-            wanted = likely.select(F.col("a").alias("set_id")).union(likely.select("b")).distinct()
-            if have is not None:
-                wanted = wanted.join(have.select("set_id"), "set_id", "left_anti")
-            wanted = stored(nodes.join(wanted, "set_id").select("doc_id", "text_id"), "wanted")
-            if not wanted.isEmpty():
-                fresh = _elements(docs, wanted, counts, size)
-                have = fresh if have is None else have.union(fresh)
-            links = stored(_verified(likely, have, counts, percent), "found")
-            tried = likely if tried is None else tried.union(likely)
-            if not links.isEmpty():
-                labels = _joined(labels, links)
-        if not more:
-            break
-        k = 1 if k == 0 else 8 * k
-    named = census.drop("sketch").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+
+def _named(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, text_id, set_id, n, n_links and the component's label of every row; a table in the shared folder."""
+    census, links = _linked(docs, size, percent)
+    labels = components(links.filter("set_id != root").select(F.col("set_id").alias("a"), F.col("root").alias("b")))
+    near = links.groupBy("set_id").agg(F.sum("near").alias("near"))
+    copies = census.groupBy("set_id").agg(F.count("*").alias("copies")).filter("copies > 1")
+    facts = copies.join(near.join(labels.withColumnRenamed("node", "set_id"), "set_id"), "set_id", "full")
+    n_links = F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("near", F.lit(0))
+    named = census.join(facts, "set_id", "left").select(
+        "doc_id",
+        "text_id",
+        "set_id",
+        "n",
+        F.when(F.col("n") > 0, n_links).otherwise(0).alias("n_links"),
+        F.coalesce("label", "set_id").alias("label"),
+    )
     return stored(named, "named")
 
 
@@ -536,8 +585,3 @@ def first_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
     )
     repeated = named.groupBy("doc_id", "text_id").count().filter(F.col("count") > 1)
     return rows if repeated.isEmpty() else rows.dropDuplicates(["doc_id", "text"])
-
-
-def _may_link(n, other, percent: int):
-    """Sets of very different sizes can't be linked."""
-    return (n * 100 >= other * percent) & (other * 100 >= n * percent)

@@ -176,3 +176,40 @@ def test_tree_finds_the_links_of_sorted_sets():
         for yes, m in zip(linked, members, strict=True):
             both = len(np.intersect1d(base, m))
             assert yes == (100 * both >= percent * (len(base) + len(m) - both))
+
+
+def brute_links(sets, percent=80):
+    """(i, j, overlap) of all linked sets, by comparing all pairs."""
+    out = []
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both and 100 * both >= percent * (len(a) + len(sets[j]) - both):
+                out.append((j, i, both))
+    return out
+
+
+def test_every_link_of_a_family_is_listed_and_counted(spark):
+    """Near copies that all share groups, in more than one block, a chain, copies, and rows without an id."""
+    rng = np.random.default_rng(7)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for i in range(330):
+        own = list(base)
+        for at in rng.integers(0, 90, i % 5):
+            own[at] = f"x{rng.integers(0, 40)}"
+        rows.append((i, " ".join(own)))
+    rows += [(1000 + i, " ".join(f"c{k}" for k in range(i * 4, i * 4 + 100))) for i in range(40)]
+    rows += [(2000, rows[3][1]), (2000, rows[3][1]), (None, rows[3][1].upper()), (2001, ""), (2002, ""), (2003, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sets = [shingles(t) for _, t in rows]
+    links = brute_links(sets)
+    count = collections.Counter(x for i, j, _ in links for x in (i, j))
+    got = [(r.doc_id, r.n_links) for r in jaccard_join.link(docs).collect()]
+    assert by_text(got) == by_text((i, count[k]) for k, (i, _) in enumerate(rows))
+    pairs, members = jaccard_join.join(docs)
+    by_doc = {r.doc_id: r.set_id for r in members.collect()}
+    of = {s: by_doc[i] for (i, _), s in zip(rows, sets, strict=True) if i is not None}
+    expected = {(*sorted((of[sets[i]], of[sets[j]])), both) for i, j, both in links if sets[i] != sets[j]}
+    got = [tuple(r) for r in pairs.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected and members.count() == len(rows)
