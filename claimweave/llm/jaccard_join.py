@@ -43,6 +43,8 @@ SIZE = 5
 PERCENT = 80
 CELLS = 1 << 20
 SLICE = 1 << 14  # cells that are added up together
+BUCKET = 1 << 20  # about how many elements of beginnings a bucket gets
+HOT = 1 << 17  # an element that may be in more sets than that goes to several buckets
 BLOCK = 256  # sets of a group that meet each other in one piece of work
 PAIRS = 1 << 21  # pairs of sketches held at once
 
@@ -147,9 +149,30 @@ def _census(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
     return table.filter(F.col("slice").isNull()).drop("slice"), counts
 
 
+def bucket_count(counts: np.ndarray, percent: int, least: int) -> int:
+    """Buckets grow in number with the elements, not in size."""
+    return max(least, -(-int(counts.sum()) * (100 - percent) // (100 * BUCKET)))
+
+
+def hot_cells(counts: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Over how many buckets the elements of each cell are spread: more than one for hot cells only."""
+    hot = max(HOT, 4 * int(counts.mean()))
+    return np.minimum(np.maximum(-(-counts // hot), 1), n_buckets)
+
+
+def bucket_of(element: np.ndarray, sid: np.ndarray, spread: np.ndarray, n_buckets: int) -> np.ndarray:
+    """The bucket of an element, for a hot one salted by the set."""
+    bucket = ((element >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
+    salt = mixed(sid.view(np.uint64)) % spread[_cell(element)].astype(np.uint64)
+    return ((bucket + salt) % np.uint64(n_buckets)).astype(np.int32)
+
+
 def _groups(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(element, set_id, n) for every beginning's element that two different sets or more share."""
-    n_buckets = partitions(docs.sparkSession)
+    """(element, set_id, n) for every beginning's element that two different sets or more share; of those in
+    hot cells, which lie in several buckets, also for such that one set has."""
+    n_buckets = bucket_count(counts, percent, partitions(docs.sparkSession))
+    spread = hot_cells(counts, n_buckets)
+    hot = np.packbits(spread > 1)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,12 +184,12 @@ def _groups(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Dat
                 take = place < begin[s.doc]
                 element, of = ordered[take], s.doc[take]
                 sid, n = s.ids[of], s.n[of]
-                bucket = ((element >> np.uint64(32)) * np.uint64(n_buckets)) >> np.uint64(32)
-                order = np.lexsort((sid, element))
+                bucket = bucket_of(element, sid, spread, n_buckets)
+                order = np.lexsort((sid, element, bucket))
                 element, sid, n, bucket = element[order], sid[order], n[order], bucket[order]
                 new = np.ones(len(element), bool)
                 new[1:] = (element[1:] != element[:-1]) | (sid[1:] != sid[:-1])
-                element, sid, n, bucket = element[new], sid[new], n[new], bucket[new].astype(np.int32)
+                element, sid, n, bucket = element[new], sid[new], n[new], bucket[new]
                 first = np.flatnonzero(np.diff(bucket, prepend=-1))
                 bounds = [*first.tolist(), len(bucket)]
                 blobs = [
@@ -191,19 +214,21 @@ def _groups(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Dat
         new = np.ones(len(element), bool)
         new[1:] = (element[1:] != element[:-1]) | (sid[1:] != sid[:-1])
         element, sid, n = element[new], sid[new], n[new]
-        many = np.zeros(len(element), bool)
+        salted = np.unpackbits(hot)[_cell(element)].astype(bool)
+        many = salted.copy()
         many[1:] |= element[1:] == element[:-1]
         many[:-1] |= element[:-1] == element[1:]
-        element, sid, n = element[many], sid[many], n[many]
-        # elements with the very same members make one group
+        element, sid, n, salted = element[many], sid[many], n[many], salted[many]
+        # elements with the very same members make one group; not yet if some members lie elsewhere
         first = np.flatnonzero(np.diff(element, prepend=~element[:1]) != 0) if len(element) else np.zeros(0, np.int64)
         if len(first):
             sums = np.add.reduceat(mixed(sid.view(np.uint64)), first)
             size = np.diff(np.append(first, len(element)))
-            _, one = np.unique(np.stack([sums, size.astype(np.uint64)], 1), axis=0, return_index=True)
+            kind = np.stack([sums, size.astype(np.uint64), salted[first].astype(np.uint64)], 1)
+            _, one = np.unique(kind, axis=0, return_index=True)
             keep = np.zeros(len(first), bool)
             keep[one] = True
-            keep = np.repeat(keep, size)
+            keep = np.repeat(keep, size) | salted
             element, sid, n = element[keep], sid[keep], n[keep]
         for at in range(0, len(element), 1 << 16):
             run = slice(at, at + (1 << 16))

@@ -7,6 +7,7 @@ import re
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from claimweave.llm import jaccard_join, substring_dedup, suffix_dedup
 from claimweave.llm.repeats import least_places
@@ -213,3 +214,27 @@ def test_every_link_of_a_family_is_listed_and_counted(spark):
     expected = {(*sorted((of[sets[i]], of[sets[j]])), both) for i, j, both in links if sets[i] != sets[j]}
     got = [tuple(r) for r in pairs.collect()]
     assert len(got) == len(set(got)) and set(got) == expected and members.count() == len(rows)
+
+
+def test_hot_elements_are_spread_over_buckets_and_blocks(spark, monkeypatch):
+    cell = np.zeros(jaccard_join.CELLS, np.int64)
+    cell[5], cell[9] = 40 * jaccard_join.HOT, 100
+    spread = jaccard_join.hot_cells(cell, 64)
+    sid = np.arange(10_000)
+    for at, least, most in ((5, 30, 40), (9, 1, 1)):
+        element = np.full(len(sid), (at << 44) + 77, np.uint64)
+        n = len(np.unique(jaccard_join.bucket_of(element, sid, spread, 64)))
+        assert least <= n <= most
+    assert jaccard_join.bucket_count(np.full(10, 10**9), 80, 12) > 1000 and jaccard_join.bucket_count(cell, 100, 12) == 12
+
+    monkeypatch.setattr(jaccard_join, "HOT", 1)
+    rows = [(i, " ".join([f"w{k}" for k in range(100)] + [f"x{i}"])) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.n_links, r.component_id) for r in jaccard_join.link(docs).collect()} == {(599, 0)}
+    docs = docs.withColumn("text_id", F.xxhash64("text"))
+    census, counts = jaccard_join._census(docs, 5)
+    groups = jaccard_join._groups(docs, counts, 5, 80)
+    nodes = census.groupBy("set_id").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    found = jaccard_join._candidates(groups, nodes, 80)
+    work = found.groupBy("element", "i", "j").count().collect()
+    assert len(work) >= 6 and max(r["count"] for r in work) < 3 * jaccard_join.BLOCK
