@@ -511,6 +511,7 @@ def _apart(flat: np.ndarray, begin: np.ndarray, words: np.ndarray, i: np.ndarray
 
 
 MARKS = 1 << 22
+MOST = 100_000
 
 
 def _mark(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -541,9 +542,17 @@ def _elements(docs: DataFrame, wanted: DataFrame, counts: np.ndarray, size: int)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(packed).astype(bool)
+        last: set[tuple[int, int]] = set()  # of MOST rows at most, so that repeated rows mostly go here
         for batch in batches:
-            mark = _mark(np.asarray(batch.column("mark_id")), np.asarray(batch.column("text_id")))
-            for part, t in pieces(batch.filter(pa.array(known[mark]))):
+            doc, text = np.asarray(batch.column("mark_id")), np.asarray(batch.column("text_id"))
+            keep = known[_mark(doc, text)]
+            for i in np.flatnonzero(keep).tolist():
+                row = (int(doc[i]), int(text[i]))
+                keep[i] = row not in last
+                if len(last) >= MOST:
+                    last.clear()
+                last.add(row)
+            for part, t in pieces(batch.filter(pa.array(keep))):
                 s = Sets(t, size)
                 ordered = s.ordered(counts)
                 blobs = [ordered[a:b].tobytes() for a, b in zip(s.first[:-1], s.first[1:], strict=True)]

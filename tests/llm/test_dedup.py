@@ -238,3 +238,15 @@ def test_hot_elements_are_spread_over_buckets_and_blocks(spark, monkeypatch):
     found = jaccard_join._candidates(groups, nodes, 80)
     work = found.groupBy("element", "i", "j").count().collect()
     assert len(work) >= 6 and max(r["count"] for r in work) < 3 * jaccard_join.BLOCK
+
+
+def test_elements_has_one_row_for_each_wanted_set(spark):
+    """Also with repeated rows in several partitions, copies, and documents that share a wanted one's mark."""
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, text)] * 40 + [(i, text) for i in range(2, 30)] + [(None, text.replace("w7", "v"))] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    docs = docs.withColumn("text_id", F.xxhash64("text"))
+    census, counts = jaccard_join._census(docs, 5)
+    wanted = census.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_id")).alias("one"), F.count("*").alias("copies"))
+    got = jaccard_join._elements(docs, wanted.select("set_id", "copies", "one.*"), counts, 5).collect()
+    assert sorted(r.copies for r in got) == [20, 68] and {len(r.elements) for r in got} == {26 * 8}
