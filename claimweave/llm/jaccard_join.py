@@ -13,8 +13,8 @@ linked with nothing. Two sets are linked if 100 * |both| >= percent * |either|.
    sets, and each pair of blocks is work of its own, dealt over all tasks. In it every two sets are
    compared by their sketches: a sketch holds four bits or more for each element, the parity of the
    elements that fall on it; sets whose sketches differ in more bits than linked sets can differ in
-   elements are not linked. A pair belongs to the first group, by the element's hash, that it shares,
-   so it goes on from there only.
+   elements are not linked. A pair belongs to the largest group that it shares, so it
+   goes on from there only.
 4. Pairs that the sketches leave are compared exactly, within their pair of blocks. Its ordered sets
    form a prefix tree, kept as sorted sequences with the length that each shares with the one before:
    a shared beginning is compared with a set once, and a sequence is left as soon as what remains of
@@ -168,7 +168,7 @@ def bucket_of(element: np.ndarray, sid: np.ndarray, spread: np.ndarray, n_bucket
 
 
 def _groups(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(element, set_id, n) for every beginning's element that two different sets or more share; of those in
+    """(element, set_id) for every beginning's element that two different sets or more share; of those in
     hot cells, which lie in several buckets, also for such that one set has."""
     n_buckets = bucket_count(counts, percent, partitions(docs.sparkSession))
     spread = hot_cells(counts, n_buckets)
@@ -183,42 +183,38 @@ def _groups(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Dat
                 place = np.arange(len(ordered)) - s.first[s.doc]
                 take = place < begin[s.doc]
                 element, of = ordered[take], s.doc[take]
-                sid, n = s.ids[of], s.n[of]
+                sid = s.ids[of]
                 bucket = bucket_of(element, sid, spread, n_buckets)
                 order = np.lexsort((sid, element, bucket))
-                element, sid, n, bucket = element[order], sid[order], n[order], bucket[order]
+                element, sid, bucket = element[order], sid[order], bucket[order]
                 new = np.ones(len(element), bool)
                 new[1:] = (element[1:] != element[:-1]) | (sid[1:] != sid[:-1])
-                element, sid, n, bucket = element[new], sid[new], n[new], bucket[new]
+                element, sid, bucket = element[new], sid[new], bucket[new]
                 first = np.flatnonzero(np.diff(bucket, prepend=-1))
                 bounds = [*first.tolist(), len(bucket)]
-                blobs = [
-                    element[a:b].tobytes() + sid[a:b].tobytes() + n[a:b].astype(np.uint32).tobytes()
-                    for a, b in zip(bounds[:-1], bounds[1:], strict=True)
-                ]
+                blobs = [element[a:b].tobytes() + sid[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 yield pa.record_batch([pa.array(bucket[first]), pa.array(blobs, pa.binary())], ["bucket", "blob"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        element, sid, n = [], [], []
+        element, sid = [], []
         for batch in batches:
             for blob in batch.column("blob").to_pylist():
-                m = len(blob) // 20
+                m = len(blob) // 16
                 element.append(np.frombuffer(blob, np.uint64, m))
                 sid.append(np.frombuffer(blob, np.int64, m, 8 * m))
-                n.append(np.frombuffer(blob, np.uint32, m, 16 * m))
         if not element:
             return
-        element, sid, n = np.concatenate(element), np.concatenate(sid), np.concatenate(n)
+        element, sid = np.concatenate(element), np.concatenate(sid)
         order = np.lexsort((sid, element))
-        element, sid, n = element[order], sid[order], n[order]
+        element, sid = element[order], sid[order]
         new = np.ones(len(element), bool)
         new[1:] = (element[1:] != element[:-1]) | (sid[1:] != sid[:-1])
-        element, sid, n = element[new], sid[new], n[new]
+        element, sid = element[new], sid[new]
         salted = np.unpackbits(hot)[_cell(element)].astype(bool)
         many = salted.copy()
         many[1:] |= element[1:] == element[:-1]
         many[:-1] |= element[:-1] == element[1:]
-        element, sid, n, salted = element[many], sid[many], n[many], salted[many]
+        element, sid, salted = element[many], sid[many], salted[many]
         # elements with the very same members make one group; not yet if some members lie elsewhere
         first = np.flatnonzero(np.diff(element, prepend=~element[:1]) != 0) if len(element) else np.zeros(0, np.int64)
         if len(first):
@@ -229,16 +225,13 @@ def _groups(docs: DataFrame, counts: np.ndarray, size: int, percent: int) -> Dat
             keep = np.zeros(len(first), bool)
             keep[one] = True
             keep = np.repeat(keep, size) | salted
-            element, sid, n = element[keep], sid[keep], n[keep]
+            element, sid = element[keep], sid[keep]
         for at in range(0, len(element), 1 << 16):
             run = slice(at, at + (1 << 16))
-            yield pa.record_batch(
-                [pa.array(element[run].view(np.int64)), pa.array(sid[run]), pa.array(n[run].astype(np.int64))],
-                ["element", "set_id", "n"],
-            )
+            yield pa.record_batch([pa.array(element[run].view(np.int64)), pa.array(sid[run])], ["element", "set_id"])
 
     sent = docs.select("text").mapInArrow(tidy(send), "bucket int, blob binary").repartitionById(n_buckets, F.col("bucket"))
-    return stored(sent.select("blob").mapInArrow(tidy(meet), "element long, set_id long, n long"), "groups")
+    return stored(sent.select("blob").mapInArrow(tidy(meet), "element long, set_id long"), "groups")
 
 
 def _tree_key(own: np.ndarray, counts: np.ndarray) -> bytes:
@@ -320,9 +313,15 @@ def _candidates(groups: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     sizes = groups.groupBy("element").agg(F.count("*").alias("m"), *same).filter("m > 1")
     # elements with the very same members make one group
     kept = sizes.groupBy("m", "x", "y").agg(F.min("element").alias("element"))
-    kept = kept.select("element", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    own = F.sort_array(F.collect_list(F.struct("element", "blocks"))).alias("own")
-    lists = groups.join(kept, "element").groupBy("set_id").agg(own)
+    kept = kept.select("element", (-F.col("m")).alias("order"), F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    # large groups come first; one whose members all begin with the same other group has no pair of its own
+    own = F.sort_array(F.collect_list(F.struct("order", "element", "blocks"))).alias("own")
+    lists = stored(groups.join(kept, "element").groupBy("set_id").agg(own), "lists")
+    light = lists.select("set_id", F.col("own")[0]["element"].alias("head"), F.explode("own").alias("group"))
+    heads = light.groupBy("group.element").agg(F.min("head").alias("low"), F.max("head").alias("high"))
+    heads = heads.filter("low != high OR low = element").select("element")
+    light = light.select("set_id", "group.*").join(heads, "element")
+    lists = light.groupBy("set_id").agg(own)
     rows = nodes.select("set_id", "n", "sketch").join(lists, "set_id").select("*", F.posexplode("own").alias("at", "group"))
     block = F.pmod(F.xxhash64("set_id", "group.element"), F.col("group.blocks")).cast("int")
     rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("group.blocks") - 1)))
