@@ -1,0 +1,123 @@
+"""Decontamination by suffix arrays against brute force."""
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from claimweave.llm import decontaminate
+
+SF_DIR = "/root/testdata/sf0.001"
+LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def windows_of(items, window=10):
+    out = {}
+    for i, text in items:
+        w = words(text)
+        n = min(window, len(w))
+        for p in range(len(w) - n + 1 if w else 0):
+            out.setdefault(tuple(w[p : p + n]), set()).add(i)
+    return out
+
+
+def expected(texts, items):
+    windows = windows_of(items)
+    sizes = {len(w) for w in windows}
+    out = []
+    for text in texts:
+        w = words(text)
+        hit, names = [False] * len(w), set()
+        for n in sizes:
+            for p in range(len(w) - n + 1):
+                if found := windows.get(tuple(w[p : p + n])):
+                    hit[p : p + n] = [True] * n
+                    names |= found
+        names = sorted(str(x) for x in names if x is not None)
+        out.append((len(w), sum(hit), names))
+    return out
+
+
+def test_op13_equals_brute_force(spark, result, documents):
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
+    want = {
+        i: (n, hit, len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), hit > 0)
+        for (i, _), (n, hit, names) in zip(documents, expected([t for _, t in documents], items), strict=True)
+    }
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in result("op13_decontaminate")}
+    assert got == want and any(v[1] for v in want.values())
+
+
+ITEMS = [
+    (1, " ".join(f"word{i}" for i in range(40, 75))),
+    (2, "Copy of, THIS"),
+    (3, " ".join(f"w{i}" for i in range(900, 915))),
+    (30, " ".join(f"w{i}" for i in range(900, 915))),
+    (4, None),
+    (5, " .,; "),
+    (None, "no id"),
+    (6, "日本語 x-y"),
+    (6, "日本語 x-y"),
+    (7, "absent everywhere"),
+]
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    return spark.createDataFrame([(*x, 0, "w") for x in ITEMS], "item_id long, text string, hit int, row string")
+
+
+def as_rows(found):
+    return sorted(((r["row"]["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in found.collect()), key=repr)
+
+
+@pytest.mark.parametrize("block", [decontaminate.BLOCK, 40])
+def test_odd_documents_and_items(odd, items, block, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK", block)
+    rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
+    want = [(i, *x) for (i, _), x in zip(rows, expected([t for _, t in rows], ITEMS), strict=True)]
+    got = decontaminate.find(odd, items)
+    assert as_rows(got) == sorted(want, key=repr)
+    assert {len(x[3]) for x in want} >= {0, 1, 2}
+    clean = decontaminate.without_contaminated(odd, items)
+    assert clean.dtypes == odd.dtypes
+    assert sorted((r["doc_id"] for r in clean.collect()), key=repr) == sorted((x[0] for x in want if not x[2]), key=repr)
+
+
+def test_nothing(odd, nothing, items):
+    assert decontaminate.find(nothing, items).count() == 0
+    assert all(r["n_hit"] == 0 and r["items"] == [] for r in decontaminate.find(odd, items.limit(0)).collect())
+    assert decontaminate.without_contaminated(odd, items.limit(0)).count() == odd.count()
+
+
+def test_longest_matches(odd, items):
+    got = decontaminate.longest_matches(odd, items).collect()
+    texts = {r["doc_id"]: words(r["text"]) for r in odd.collect()}
+    found = {(r["row"]["doc_id"], r["item_id"], r["item_start"], r["doc_start"], r["n_words"]) for r in got}
+    for i, item, item_start, doc_start, n in found:
+        source = next(words(t) for name, t in ITEMS if str(name) == str(item))
+        assert source[item_start : item_start + n] == texts[i][doc_start : doc_start + n]
+    assert {(6, "1", 0, 41, 35), (7, "1", 0, 41, 35)} <= found and (14, "1", 0, 40, 35) in found
+    assert sum(x[:2] == (6, "1") for x in found) == 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=60), st.sampled_from([1, 2, 5, 100]))
+def test_suffixes_are_in_order(numbers, depth):
+    ids = np.array([*numbers, 0], np.int64)
+
+    def run(p):
+        return tuple(ids[p : p + int(np.flatnonzero(ids[p:] == 0)[0])])
+
+    step = 1
+    while step < depth:
+        step *= 2
+    got = [run(p)[:step] for p in decontaminate.suffix_array(ids, depth)]
+    assert got == sorted(run(p)[:step] for p in np.flatnonzero(ids))
