@@ -1,15 +1,21 @@
 """Exact top-k search by inner product as a Voronoi kNN join.
 
-Queries are grouped by their nearest pivot. The pivots are rows of the table, so a query's k best
-scores among them bound its k-th best score from below. For each group the least such bound and
-the largest distance of a query from the pivot are kept: this summary has one row for each pivot,
-`MOST_PIVOTS` at most. A row s can be among the k best of a query in the group of pivot p only if
-p*s + radius*|s| reaches the group's bound; it goes to the groups where it does, in blocks, and
-each block is scored there against the group's queries. The k best of the blocks' k best are exact.
+Pivots are rows of the table, about the square root of their number. Queries and data are both grouped
+by their nearest pivot. A cell's summary is its radius, for a cell of queries also the least bound
+for their k-th best scores: each query's k-th best among `PROBES` rows bounds its k-th best from
+below. With pivots p and c and radii u and v, no query of one cell scores more with a row of the other
+than p*c + u*|c| + v*|p| + u*v; where that is under the cell's bound, the two cells never meet. In cells
+that may meet, a row s goes to the queries' cell only if p*s + u*|s| reaches the bound.
+
+Cells of queries are gathered into groups of about GROUP queries, neighbours together. A row goes once to
+each group that has a cell it must meet, in blocks, and each block is scored there against the
+group's queries. The k best of the blocks' k best are exact. Summaries have a row for each pivot,
+`MOST_PIVOTS` at most; beyond that number of cells they grow, and nothing else changes.
 
 Components are floor(256 * x). Vectors that are null or hold null or non-finite components take no
-part. A query meets candidates of its own length only. Rows with the query's own vec_id are no
-candidates; other repeated rows are. Ties go to the smaller vec_id. An empty table gives no rows.
+part. A query meets candidates of its own length only. Of query rows with one vec_id the least vector
+asks, once. Rows with the query's own vec_id are no candidates; other repeated rows are. Ties go to
+the smaller vec_id. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,8 +31,9 @@ from claimweave.llm.text import tidy
 from claimweave.llm.shared import partitions, stored
 
 SCALE = 256
-GROUP = 512  # queries for each pivot, about
+GROUP = 512  # queries that meet a row together, about
 MOST_PIVOTS = 256
+PROBES = 2048
 BLOCK = 4096  # rows scored at once
 
 
@@ -57,13 +64,11 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates of each query row."""
     spark = embeddings.sparkSession
     data = stored(integers(embeddings), "vectors")
-    queries = data.filter(is_query)
-    dims = {r["dim"]: r["n"] for r in queries.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    queries = data.filter(is_query).groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("q")).select("vec_id", "q.*")
+    dims = [r["dim"] for r in queries.select("dim").distinct().collect()]
     found = None
-    for dim, n in sorted(dims.items()):
-        one = _search(
-            data.filter(F.col("dim") == dim), queries.filter(F.col("dim") == dim), dim, n, k, partitions(spark)
-        )
+    for dim in sorted(dims):
+        one = _search(data.filter(F.col("dim") == dim), queries.filter(F.col("dim") == dim), dim, k, partitions(spark))
         found = one if found is None else found.unionByName(one)
     if found is None:
         found = spark.createDataFrame([], "query_id long, vec_id long, score long")
@@ -72,56 +77,74 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
-def _search(data: DataFrame, queries: DataFrame, dim: int, n: int, k: int, salts: int) -> DataFrame:
-    n_pivots = min(MOST_PIVOTS, -(-n // GROUP))
-    bound_rows = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MOST_PIVOTS).toPandas()
-    rows = np.array(bound_rows["v"].tolist(), np.int64).reshape(len(bound_rows), dim)
-    row_ids = bound_rows["vec_id"].to_numpy()
-    pivots = rows[:n_pivots]
+class Cells:
+    """The pivots, what the summaries say, and which cells have to meet."""
 
-    def nearest(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        far = (q.astype(float) ** 2).sum(1)[:, None] - 2.0 * _product(q, pivots) + (pivots.astype(float) ** 2).sum(1)
-        cell = far.argmin(1)
-        return cell, np.sqrt(np.maximum(far[np.arange(len(q)), cell], 0))
-
-    def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            q, ids = _matrix(b.column("v"), dim), np.asarray(b.column("vec_id"))
-            cell, far = nearest(q)
-            scores = np.where(row_ids[None, :] == ids[:, None], np.iinfo(np.int64).min, _product(q, rows))
-            enough = (row_ids[None, :] != ids[:, None]).sum(1) >= k
-            least = -np.sort(-scores, 1)[:, min(k, scores.shape[1]) - 1].astype(float)
-            least = np.where(enough, least, -np.inf)
-            yield pa.record_batch(
-                [pa.array(cell.astype(np.int32)), pa.array(far), pa.array(least), b.column("vec_id"), b.column("v")],
-                ["cell", "far", "least", "query_id", "q"],
-            )
+    def __init__(self, pivots: np.ndarray):
+        self.pivots = pivots
+        self.squares = (pivots.astype(float) ** 2).sum(1)
+        self.length = np.sqrt(self.squares)
 
-    cells = stored(
-        queries.select("vec_id", "v").mapInArrow(
-            tidy(grouped), "cell int, far double, least double, query_id long, q array<long>"
-        ),
-        "queries",
-    )
-    summary = cells.groupBy("cell").agg(F.max("far").alias("far"), F.min("least").alias("least")).toPandas()
-    radius, least = summary["far"].to_numpy(float), summary["least"].to_numpy(float)
-    used = summary["cell"].to_numpy(int)
+    def nearest(self, rows: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        far = (rows.astype(float) ** 2).sum(1)[:, None] - 2.0 * products + self.squares
+        cell = far.argmin(1)
+        return cell, np.sqrt(np.maximum(far[np.arange(len(rows)), cell], 0))
+
+    def summarise(self, asks: list, has: list) -> None:
+        """asks: (cell, radius, least bound, queries) of each cell of queries; has: (cell, radius) of each of rows."""
+        asks = sorted(asks, key=lambda x: x[0])
+        self.used = np.array([x[0] for x in asks], np.int64)
+        self.radius, self.least = np.array([x[1] for x in asks], float), np.array([x[2] for x in asks], float)
+        reach = np.zeros(len(self.pivots))
+        for cell, far in has:
+            reach[cell] = far
+        between = _product(self.pivots, self.pivots[self.used]).astype(float)
+        most = between + self.radius * self.length[:, None] + reach[:, None] * (self.length[self.used] + self.radius)
+        self.meet = _reached(most, self.least)
+        self.group = self._groups([x[3] for x in asks])
+
+    def _groups(self, n: list[int]) -> np.ndarray:
+        """A group for each cell of queries: from cell to nearest cell, a new group when one has GROUP queries."""
+        group, left, number, size = np.zeros(len(n), np.int64), np.ones(len(n), bool), 0, 0
+        at = 0
+        while left.any():
+            own = self.pivots[self.used[at]].astype(float)
+            far = ((self.pivots[self.used].astype(float) - own) ** 2).sum(1)
+            at = int(np.where(left, far, np.inf).argmin())
+            if size >= GROUP:
+                number, size = number + 1, 0
+            group[at], left[at], size = number, False, size + n[at]
+        return group
+
+    def wanted(self, rows: np.ndarray) -> np.ndarray:
+        """Which rows have to meet which cells of queries."""
+        products = _product(rows, self.pivots)
+        cell, _ = self.nearest(rows, products)
+        length = np.sqrt((rows.astype(float) ** 2).sum(1))
+        most = products[:, self.used] + self.radius * length[:, None]
+        return self.meet[cell] & _reached(most, self.least)
+
+
+def _reached(most: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Whether bounds reach others, in spite of rounding."""
+    return most + 1e-9 * np.abs(most) + 1e-6 >= least
+
+
+def _search(data: DataFrame, queries: DataFrame, dim: int, k: int, salts: int) -> DataFrame:
+    cells, asking, ready = _cells(data, queries, dim, k)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK):
                 b = batch.slice(at, BLOCK)
                 s, ids = _matrix(b.column("v"), dim), np.asarray(b.column("vec_id"))
-                length = np.sqrt((s.astype(float) ** 2).sum(1))
-                reach = _product(s, pivots[used]) + radius * length[:, None]
+                wanted = cells.wanted(s)
                 out = []
-                for j, cell in enumerate(used):
-                    take = reach[:, j] * (1 + 1e-9) + 1e-6 >= least[j]  # rounding never excludes a row
+                for group in np.unique(cells.group):
+                    take = wanted[:, cells.group == group].any(1)
                     if take.any():
                         own = ids[take]
-                        out.append((int(cell), int(own[0] % salts), own.tobytes(), s[take].tobytes()))
+                        out.append((int(group), int(own[0] % salts), own.tobytes(), s[take].tobytes()))
                 columns = list(zip(*out, strict=True)) or [()] * 4
                 kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
                 yield pa.record_batch(
@@ -144,8 +167,8 @@ def _search(data: DataFrame, queries: DataFrame, dim: int, n: int, k: int, salts
                 [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["cell", "query_ids", "queries"]
             )
 
-    # queries of one cell lie together; a hot cell is cut, as the id completes the range key
-    ready = cells.repartitionByRange(n_pivots, "cell", "query_id").mapInArrow(
+    # queries of one group lie together; a hot one is cut, as the id completes the range key
+    ready = asking.repartitionByRange(ready, "cell", "query_id").mapInArrow(
         tidy(chunks), "cell int, query_ids binary, queries binary"
     )
     ready = ready.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -173,3 +196,42 @@ def _search(data: DataFrame, queries: DataFrame, dim: int, n: int, k: int, salts
 
     met = sent.join(ready, ["cell", "salt"]).select("ids", "rows", "query_ids", "queries")
     return met.mapInArrow(tidy(solve), "query_id long, vec_id long, score long")
+
+
+def _cells(data: DataFrame, queries: DataFrame, dim: int, k: int) -> tuple[Cells, DataFrame, int]:
+    """The cells with their summaries; the queries, with the group that is called their cell; the number of groups."""
+    n_pivots = min(MOST_PIVOTS, max(1, int(data.count() ** 0.5)))
+    probes = data.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(PROBES).toPandas()
+    rows = np.array(probes["v"].tolist(), np.int64).reshape(len(probes), dim)
+    row_ids = probes["vec_id"].to_numpy()
+    cells = Cells(rows[:n_pivots])
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            q, ids = _matrix(b.column("v"), dim), np.asarray(b.column("vec_id"))
+            cell, far = cells.nearest(q, _product(q, cells.pivots))
+            other = row_ids[None, :] != ids[:, None]
+            scores = np.where(other, _product(q, rows), np.iinfo(np.int64).min)
+            least = -np.sort(-scores, 1)[:, min(k, scores.shape[1]) - 1].astype(float)
+            least = np.where(other.sum(1) >= k, least, -np.inf)
+            yield pa.record_batch(
+                [pa.array(cell.astype(np.int32)), pa.array(far), pa.array(least), b.column("vec_id"), b.column("v")],
+                ["cell", "far", "least", "query_id", "q"],
+            )
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most = np.full(n_pivots, -1.0)
+        for b in batches:
+            s = _matrix(b.column("v"), dim)
+            cell, far = cells.nearest(s, _product(s, cells.pivots))
+            np.maximum.at(most, cell, far)
+        have = np.flatnonzero(most >= 0)
+        yield pa.record_batch([pa.array(have.astype(np.int32)), pa.array(most[have])], ["cell", "far"])
+
+    schema = "cell int, far double, least double, query_id long, q array<long>"
+    asking = stored(queries.select("vec_id", "v").mapInArrow(tidy(placed), schema), "queries")
+    asks = asking.groupBy("cell").agg(F.max("far"), F.min("least"), F.count("*")).collect()
+    has = data.select("v").mapInArrow(tidy(reach), "cell int, far double").groupBy("cell").agg(F.max("far")).collect()
+    cells.summarise([tuple(r) for r in asks], [tuple(r) for r in has])
+    groups = F.create_map(*(F.lit(int(x)) for pair in zip(cells.used, cells.group, strict=True) for x in pair))
+    return cells, asking.select(groups[F.col("cell")].cast("int").alias("cell"), "query_id", "q"), int(cells.group.max()) + 1

@@ -218,14 +218,47 @@ def test_odd_vectors(spark):
     assert topk.top_k(vectors.limit(0), F.col("vec_id") % 50 == 0).isEmpty()
 
 
-def test_voronoi_bounds_lose_nothing(spark, monkeypatch):
-    monkeypatch.setattr(topk, "GROUP", 4)
+def rows_found(spark, rows, every):
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    return sorted(tuple(r) for r in topk.top_k(vectors, F.col("vec_id") % every == 0).collect())
+
+
+@pytest.mark.parametrize("group", [4, 512])
+def test_voronoi_bounds_lose_nothing(spark, monkeypatch, group):
+    monkeypatch.setattr(topk, "GROUP", group)
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(6, 8))
     rows = [(int(i), (centres[i % 6] + 0.05 * rng.normal(size=8)).tolist()) for i in range(600)]
-    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = topk.top_k(vectors, F.col("vec_id") % 20 == 0)
-    assert sorted(tuple(r) for r in got.collect()) == brute(rows, every=20)
+    assert rows_found(spark, rows, 20) == brute(rows, every=20)
+
+
+def test_negative_scores_lose_nothing(spark):
+    rows = [(0, [1.0, 0.0]), *((i, [-1.0, 0.0]) for i in range(1, 11)), (20, [1.0, 0.0])]
+    assert rows_found(spark, rows, 20) == brute(rows, every=20) and len(brute(rows, every=20)) == 10
+    rng = np.random.default_rng(4)
+    rows = [(i, [-1.0 - rng.random(), *rng.normal(size=3).tolist()] if i % 50 else [5.0, 0.0, 0.0, 0.0]) for i in range(400)]
+    assert rows_found(spark, rows, 50) == brute(rows)
+
+
+def test_repeated_queries_ask_once(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(60)]
+    again = [(50, [1.0, 1.0]), (50, [1.0, 1.0]), (50, [float("nan"), 1.0]), (3, [3.0, 1.0])]
+    got = rows_found(spark, rows + again, 50)
+    # the least vector of id 50 asks; row 3 is a candidate twice
+    assert [r for r in got if r[0] == 50] == brute([r for r in rows if r[0] != 50] + again[:1] + again[3:])[-5:]
+    assert len(got) == 10
+
+
+def test_cells_that_need_not_meet_do_not(spark):
+    """Of far clusters nearly all rows stay away from nearly all cells of queries."""
+    rng = np.random.default_rng(7)
+    centres = 40 * rng.normal(size=(12, 16))
+    rows = [(int(i), (centres[i % 12] + rng.normal(size=16)).tolist()) for i in range(2400)]
+    vectors = topk.integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    cells, _, groups = topk._cells(vectors, vectors.filter("vec_id % 10 = 0"), 16, 5)
+    wanted = cells.wanted(np.array([r["v"] for r in vectors.select("v").collect()], np.int64))
+    assert len(cells.used) >= 12 and wanted.mean() < 0.2 and not cells.meet.all()
+    assert rows_found(spark, rows, 50) == brute(rows)
 
 
 def generalised_jaccard(a, b):
