@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave.llm.shared import partitions, stored
@@ -605,7 +605,7 @@ def first_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
     """The rows of `docs`, all columns, that come first in their component: one row for each.
 
     First is the smallest doc_id, rows without one last, then the text's hash. Rows without words
-    are linked with nothing and all stay, but of rows with equal doc_id and text one stays.
+    are linked with nothing and all stay. Of rows with words that repeat doc_id and text one stays.
     """
     named = _named(docs, size, percent).filter(F.col("n") > 0)
     row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_id")
@@ -613,8 +613,10 @@ def first_of_each(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) ->
     other = ~F.col("doc_id").eqNullSafe(F.col("first.doc_id")) | (F.col("text_id") != F.col("first.text_id"))
     gone = named.join(first, "label").filter(other).select("doc_id", "text_id").distinct()
     own_text = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    rows = docs.join(
-        gone, docs["doc_id"].cast("long").eqNullSafe(gone["doc_id"]) & (own_text == gone["text_id"]), "left_anti"
-    )
-    repeated = named.groupBy("doc_id", "text_id").count().filter(F.col("count") > 1)
-    return rows if repeated.isEmpty() else rows.dropDuplicates(["doc_id", "text"])
+    def same(keys: DataFrame) -> Column:
+        return docs["doc_id"].cast("long").eqNullSafe(keys["doc_id"]) & (own_text == keys["text_id"])
+
+    repeated = named.groupBy("doc_id", "text_id").count().filter("count > 1").drop("count")
+    rows = docs.join(gone, same(gone), "left_anti")
+    once = rows.join(repeated, same(repeated), "left_anti")
+    return once.unionByName(rows.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "text"]))
