@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 PIECE = 1 << 21  # bytes of text handled at once; a longer document is handled alone
+SIDE = 1 << 11  # powers in each of a hash's tables
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -118,36 +119,40 @@ class Rolling:
     """A polynomial hash modulo 2**64 with a random value for each byte.
 
     `sums` makes prefix sums; `of` then hashes any substring in constant time. Equal
-    substrings have equal hashes wherever they stand.
+    substrings have equal hashes wherever they stand. Powers of the base are products of two from short
+    tables, so that nothing long is kept between calls.
     """
 
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
         self.values = rng.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + rng.integers(0, 2, 256, np.uint64)
         self.base = int(rng.integers(1 << 40, 1 << 60)) * 8 + 5
-        self.inverse = pow(self.base, -1, 1 << 64)
-        self.powers = self.inverses = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            n = max(n, min(2 * n, PIECE + 1))
-            for name, factor in (("powers", self.base), ("inverses", self.inverse)):
-                steps = np.full(n, factor, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
+        self.low, self.high = _powers(self.base, SIDE), pow(self.base, SIDE, 1 << 64)
+        inverse = pow(self.base, -1, 1 << 64)
+        self.low_inverse, self.high_inverse = _powers(inverse, SIDE), pow(inverse, SIDE, 1 << 64)
 
     def sums(self, data: np.ndarray) -> np.ndarray:
         return self.sums_of(self.values[data])
 
     def sums_of(self, values: np.ndarray) -> np.ndarray:
         """The same for a sequence of 64-bit numbers instead of bytes."""
-        self._grow(len(values) + 1)
-        sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * self.powers[: len(values)], out=sums[1:])
+        n = len(values)
+        powers = np.multiply.outer(_powers(self.high, -(-n // SIDE)), self.low).ravel()[:n]
+        powers *= values
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(powers, out=sums[1:])
         return sums
 
     def of(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mixed((sums[ends] - sums[starts]) * self.inverses[starts] + (ends - starts).astype(np.uint64))
+        high = _powers(self.high_inverse, len(sums) // SIDE + 1)
+        inverse = high[starts // SIDE] * self.low_inverse[starts % SIDE]
+        return mixed((sums[ends] - sums[starts]) * inverse + (ends - starts).astype(np.uint64))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, np.uint64)
+    steps[:1] = 1
+    return np.multiply.accumulate(steps)
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
