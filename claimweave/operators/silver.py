@@ -17,7 +17,7 @@ from claimweave.functions.columns import (
 )
 from claimweave.operators.dedup import latest_per_key
 from claimweave.operators.merge import missing_from, row_digest
-from claimweave.sources.schemas import RAW_CLAIM_COLUMNS
+from claimweave.sources.schemas import MALFORMED, RAW_CLAIM_COLUMNS
 
 NEWEST_FIRST = ["_ingestion_ts", "_source_file"]
 QUARANTINE_COLUMNS = ["_reject_reason", "_bronze_run_id", "_quarantine_ts", "_row_digest"]
@@ -34,8 +34,8 @@ def newer_than(df: DataFrame, watermark: str | Column, ts: str = "_ingestion_ts"
 
 
 def conform_raw(df: DataFrame) -> DataFrame:
-    """Add contract columns the feed left out, as NULL text."""
-    absent = [c for c in RAW_CLAIM_COLUMNS if c not in df.columns]
+    """Add contract columns the feed left out, and the mark of malformed records, as NULL text."""
+    absent = [c for c in (*RAW_CLAIM_COLUMNS, MALFORMED) if c not in df.columns]
     return df.withColumns({c: F.lit(None).cast("string") for c in absent}) if absent else df
 
 
@@ -55,6 +55,16 @@ def typed_claims(bronze: DataFrame) -> DataFrame:
     return normalize_codes(coerce_claims(conform_raw(bronze)))
 
 
+def sound_mask(as_of: AsOf = None) -> Column:
+    """True exactly where a record fits its file's header and no rule is broken."""
+    return F.col(MALFORMED).isNull() & valid_mask(as_of)
+
+
+def rejection(as_of: AsOf = None) -> Column:
+    """Why a record is rejected, `malformed` before all rules; NULL for a sound one."""
+    return F.when(F.col(MALFORMED).isNotNull(), "malformed").otherwise(reject_reason(as_of))
+
+
 def split_valid(df: DataFrame, mask: Column) -> tuple[DataFrame, DataFrame]:
     """(good, bad); every row lands in exactly one because the mask is never NULL."""
     return df.filter(mask), df.filter(~mask)
@@ -62,13 +72,13 @@ def split_valid(df: DataFrame, mask: Column) -> tuple[DataFrame, DataFrame]:
 
 def quarantine(bad: DataFrame, run_id: str, as_of: AsOf = None) -> DataFrame:
     """Rejected rows with their reason; the Bronze run id moves to `_bronze_run_id`."""
-    return bad.withColumns(
+    return conform_raw(bad).withColumns(
         {
-            "_reject_reason": reject_reason(as_of),
+            "_reject_reason": rejection(as_of),
             "_bronze_run_id": F.col("_job_run_id"),
             "_quarantine_ts": F.current_timestamp(),
             "_job_run_id": F.lit(run_id),
-            "_row_digest": row_digest([*RAW_CLAIM_COLUMNS, *NEWEST_FIRST]),
+            "_row_digest": row_digest([*RAW_CLAIM_COLUMNS, *NEWEST_FIRST, MALFORMED]),
         }
     )
 
@@ -86,8 +96,8 @@ def latest_claims(good: DataFrame) -> DataFrame:
 
 def cleanse(bronze: DataFrame, run_id: str, as_of: AsOf = None) -> tuple[DataFrame, DataFrame]:
     """Bronze increment -> (latest valid claims, rejected rows)."""
-    good, bad = split_valid(typed_claims(bronze), valid_mask(as_of))
-    return latest_claims(good), quarantine(bad, run_id, as_of)
+    good, bad = split_valid(typed_claims(bronze), sound_mask(as_of))
+    return latest_claims(good.drop(MALFORMED)), quarantine(bad, run_id, as_of)
 
 
 def replay_quarantine(
@@ -96,9 +106,9 @@ def replay_quarantine(
     """Re-validate quarantined rows: (rows to upsert into Silver, rows that stay).
 
     Only the newest passing version of a claim is promoted, and only when
-    Silver holds none that is as new.
+    Silver holds none that is as new. Malformed records stay.
     """
-    passing, failing = split_valid(stored, valid_mask(as_of))
+    passing, failing = split_valid(conform_raw(stored), sound_mask(as_of))
     newest = latest_per_key(passing, ["claim_id"], NEWEST_FIRST)
     held = silver.select(
         F.col("claim_id").alias("_held_id"), F.col("_ingestion_ts").alias("_held_ts")
@@ -107,7 +117,7 @@ def replay_quarantine(
     promoted = newest.join(held, newer, "left_anti")
     restored = promoted.withColumns(
         {"_job_run_id": F.col("_bronze_run_id"), "_silver_updated_at": F.current_timestamp()}
-    ).drop(*QUARANTINE_COLUMNS)
+    ).drop(*QUARANTINE_COLUMNS, MALFORMED)
     return restored, failing
 
 

@@ -47,12 +47,12 @@ def _latest(rows: str) -> str:
     )
 
 
-def _sent(when: str) -> str:
-    """A night's drop: each claim once."""
+def _newest(rows: str, first: str = "") -> str:
+    """Of each claim's rows in a drop the one that lands last."""
     return (
         "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY "
-        "_ingestion_ts DESC, provider_id DESC, claim_amount::VARCHAR DESC) AS rn FROM judged "
-        f"WHERE claim_id IS NOT NULL AND {when}) WHERE rn = 1"
+        f"{first}_ingestion_ts DESC, provider_id DESC, claim_amount::VARCHAR DESC) AS rn "
+        f"FROM ({rows}) WHERE claim_id IS NOT NULL) WHERE rn = 1"
     )
 
 
@@ -212,16 +212,20 @@ _STEPS = {
     "silver_12": """
         SELECT * FROM silver_2 UNION ALL
         SELECT * FROM silver_1 WHERE claim_id NOT IN (SELECT claim_id FROM silver_2)""",
-    "sent_1": _sent("_ingestion_ts < TIMESTAMP '1999-01-01'"),
-    "sent_2": _sent("_ingestion_ts >= TIMESTAMP '1999-01-01'"),
+    "sent_1": "SELECT * FROM judged WHERE _ingestion_ts < TIMESTAMP '1999-01-01'",
+    "sent_2": "SELECT * FROM judged WHERE _ingestion_ts >= TIMESTAMP '1999-01-01'",
+    "newest_1": _newest("SELECT * FROM sent_1"),
     "night_2": """
         SELECT * FROM sent_2 UNION ALL
-        SELECT * REPLACE ('1' AS provider_id) FROM sent_1
-        WHERE diagnosis_code = 'BRAND#11' AND claim_id NOT IN (SELECT claim_id FROM sent_2)""",
-    "valid_2": "SELECT * FROM night_2 WHERE _reject_reason IS NULL",
+        SELECT * REPLACE ('1' AS provider_id) FROM newest_1
+        WHERE diagnosis_code = 'BRAND#11'
+          AND claim_id NOT IN (SELECT claim_id FROM sent_2 WHERE claim_id IS NOT NULL)""",
+    "valid_1": _newest("SELECT * FROM sent_1 WHERE _reject_reason IS NULL"),
+    "valid_2": _newest("SELECT * FROM night_2 WHERE _reject_reason IS NULL"),
     "silver_n": """
-        SELECT * FROM valid_2 UNION ALL SELECT * FROM sent_1
-        WHERE _reject_reason IS NULL AND claim_id NOT IN (SELECT claim_id FROM valid_2)""",
+        SELECT * FROM valid_2 UNION ALL SELECT * FROM valid_1
+        WHERE claim_id NOT IN (SELECT claim_id FROM valid_2)""",
+    "silver_q": _newest("SELECT * FROM good", "claim_date <= DATE '1997-01-01' DESC, "),
     "members_1": _members(False),
     "members_2": _members(True),
     "patient_1": f"""
@@ -274,6 +278,7 @@ _STEPS = {
     "enriched_2": _enriched("silver_2"),
     "enriched_12": _enriched("silver_12"),
     "enriched_n": _enriched("silver_n"),
+    "enriched_q": _enriched("silver_q"),
     "resolved": _resolved("enriched"),
     "fact": f"SELECT {_sk('claim_id', 5)} AS claim_sk, * EXCLUDE (claim_date, member_id) FROM resolved",
     "history_fact": f"""
@@ -424,6 +429,18 @@ _STATEMENTS = {
     "kpi_upsert": f"""
         SELECT * FROM ({_kpi('enriched_12')})""",
     "nightly_two_runs": _kpi("enriched_n"),
+    "quiet_night": f"""
+        SELECT claim_id, patient_sk, provider_sk, plan_sk, claim_date_sk, claim_amount, claim_status
+        FROM ({_resolved('enriched_q')})""",
+    "malformed_rows": """
+        SELECT claim_id, member_id,
+               CASE WHEN kind IS NOT NULL THEN 'malformed' ELSE coalesce(_reject_reason, 'valid') END AS outcome,
+               CASE WHEN kind IS NULL THEN
+                    procedure_code || CASE WHEN claim_id LIKE '%-5' THEN chr(10) || 'SECOND LINE' ELSE '' END
+               END AS procedure_code,
+               kind AS fields
+        FROM (SELECT *, CASE WHEN claim_id LIKE '%-3' AND provider_id LIKE '%7' THEN 11
+                             WHEN claim_id LIKE '%-4' AND provider_id LIKE '%1' THEN 6 END AS kind FROM judged)""",
     "scd2_patient": "SELECT * FROM dim_patient",
     "scd1_provider": "SELECT * FROM dim_provider",
     "plan_dim": "SELECT * FROM dim_plan",

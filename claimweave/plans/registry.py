@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimweave.functions import columns as fn
@@ -27,10 +27,12 @@ from claimweave.plans import nightly
 from claimweave.plans.driver_tables import AS_OF, FIRST_LOAD, SPLIT
 from claimweave.sources import control, tables
 from claimweave.sources.schemas import (
+    BRONZE_CLAIMS,
     DIM_PATIENT,
     DIM_PROVIDER,
     DIM_PLAN,
     FACT_CLAIMS,
+    MALFORMED,
     RAW_CLAIM_COLUMNS,
     empty,
 )
@@ -38,6 +40,7 @@ from claimweave.sources.scratch import scratch_dir
 from claimweave.streaming.bronze import ingest_bronze, read_bronze
 
 REPLAY_AS_OF = "2001-06-01"
+QUIET_AS_OF = "1997-01-01"
 REPROCESSED_DAY = "1998-06-15"
 AUDIT_DAY = "2024-01-25"
 
@@ -381,37 +384,94 @@ def kpi_upsert(lake: Lake) -> DataFrame:
     )
 
 
+def _new_job(lake: Lake) -> nightly.Job:
+    root = scratch_dir(lake.spark, "lake")
+    database = f"nightly_{uuid.uuid4().hex[:12]}"
+    lake.spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/{database}'")
+    return nightly.Job(root, f"{root}/landing", database)
+
+
+def _land(job: nightly.Job, night: int, drop: DataFrame) -> None:
+    """All rows as CSV; those of a claim that is sent again in one night in folders of rising names."""
+    resent = Window.partitionBy("claim_id").orderBy("_ingestion_ts", "provider_id", "claim_amount")
+    number = F.when(F.col("claim_id").isNull(), 1).otherwise(F.row_number().over(resent))
+    named = drop.select(*RAW_CLAIM_COLUMNS, F.lpad(number.cast("string"), 6, "0").alias("sent"))
+    named.write.option("header", True).partitionBy("sent").csv(f"{job.landing}/{night}")
+
+
+def _night(lake: Lake, job: nightly.Job, night: int, as_of: str = AS_OF) -> None:
+    nightly.run_nightly(
+        lake.spark,
+        job,
+        f"night_{night}",
+        src.members(lake.spark, lake.sf_dir, night == 1),
+        src.providers(lake.spark, lake.sf_dir, night == 1),
+        src.plan_catalogue(lake.spark, lake.sf_dir, night == 0),
+        as_of,
+    )
+
+
 def nightly_two_runs(lake: Lake) -> DataFrame:
     """KPIs after two nights of the whole chain, from CSV drops to Gold refreshed by what changed.
 
-    On the second night providers appear, members and plans change, and claims of one diagnosis come
-    again with another provider.
+    All rows land, claims sent several times in one night included. On the second night providers
+    appear, members and plans change, and claims of one diagnosis come again with another provider.
     """
-    spark, root = lake.spark, scratch_dir(lake.spark, "lake")
-    database = f"nightly_{uuid.uuid4().hex[:12]}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/{database}'")
-    job = nightly.Job(root, f"{root}/landing", database, full_gold=False)
-    newest = ["_ingestion_ts", "provider_id", "claim_amount"]
-    first, second = (
-        latest_per_key(half.filter("claim_id IS NOT NULL"), ["claim_id"], newest).unionByName(
-            half.filter("claim_id IS NULL")
-        )
-        for half in (lake.first_half, lake.second_half)
-    )
-    moved = first.filter(F.trim("diagnosis_code") == "brand#11").withColumn("provider_id", F.lit("1"))
+    job = _new_job(lake)
+    first, second = lake.first_half, lake.second_half
+    newest = latest_per_key(first.filter("claim_id IS NOT NULL"), ["claim_id"], ["_ingestion_ts", "provider_id", "claim_amount"])
+    moved = newest.filter(F.trim("diagnosis_code") == "brand#11").withColumn("provider_id", F.lit("1"))
     moved = merge.without_keys(moved, second, ["claim_id"])
     for night, drop in enumerate((first, second.unionByName(moved))):
-        drop.select(*RAW_CLAIM_COLUMNS).write.option("header", True).csv(f"{job.landing}/{night}")
-        nightly.run_nightly(
-            spark,
-            job,
-            f"night_{night}",
-            src.members(spark, lake.sf_dir, night == 1),
-            src.providers(spark, lake.sf_dir, night == 1),
-            src.plan_catalogue(spark, lake.sf_dir, night == 0),
-            AS_OF,
-        )
-    return without(spark.table(job.table("provider_kpi")), "last_refreshed")
+        _land(job, night, drop)
+        _night(lake, job, night)
+    return without(lake.spark.table(job.table("provider_kpi")), "last_refreshed")
+
+
+def quiet_night(lake: Lake) -> DataFrame:
+    """The warehouse's fact after a night without files, on which a replay and changed dimensions are due.
+
+    On the first night, at an earlier day, claims dated later are quarantined.
+    """
+    job = _new_job(lake)
+    _land(job, 0, lake.bronze)
+    _night(lake, job, 0, QUIET_AS_OF)
+    nightly.replay(lake.spark, job, AS_OF)
+    _night(lake, job, 1)
+    fact = lake.spark.table(job.table("fact_claims"))
+    return fact.select("claim_id", "patient_sk", "provider_sk", "plan_sk", "claim_date_sk", "claim_amount", "claim_status")
+
+
+def malformed_rows(lake: Lake) -> DataFrame:
+    """Claims as CSV with surplus fields, short records and quoted line breaks, through Bronze to their outcome.
+
+    fields: how many a malformed record has.
+    """
+    values = [F.coalesce(c, F.lit("")) for c in RAW_CLAIM_COLUMNS]
+    line, ends = F.col("claim_id"), F.col("provider_id")
+    broken = F.concat(F.lit('"'), values[8], F.lit('\nsecond line"'))
+    text = (
+        F.when(line.endswith("-3") & ends.endswith("7"), F.concat_ws(",", *values, F.lit("EXTRA")))
+        .when(line.endswith("-4") & ends.endswith("1"), F.concat_ws(",", *values[:6]))
+        .when(line.endswith("-5"), F.concat_ws(",", *values[:8], broken, values[9]))
+        .otherwise(F.concat_ws(",", *values))
+    )
+    files = max(4, lake.bronze.count() // 20_000)
+    records = lake.bronze.select(F.pmod(F.xxhash64(*RAW_CLAIM_COLUMNS), F.lit(files)).alias("file"), F.lit(1).alias("at"), text.alias("value"))
+    headers = lake.spark.range(files).select(F.col("id").alias("file"), F.lit(0).alias("at"), F.lit(",".join(RAW_CLAIM_COLUMNS)).alias("value"))
+    drop, land = scratch_dir(lake.spark, "drop"), scratch_dir(lake.spark, "bronze")
+    lines = records.unionByName(headers).repartition("file").sortWithinPartitions("file", "at")
+    lines.drop("at").write.partitionBy("file").text(drop)
+    ingest_bronze(lake.spark, drop, land, f"{land}-checkpoint", "r1")
+    landed = silver.typed_claims(read_bronze(lake.spark, land, BRONZE_CLAIMS))
+    whole = F.col(MALFORMED).isNull()
+    return landed.select(
+        "claim_id",
+        "member_id",
+        F.coalesce(silver.rejection(AS_OF), F.lit("valid")).alias("outcome"),
+        F.when(whole, F.col("procedure_code")).alias("procedure_code"),
+        F.when(~whole, F.size(F.split(MALFORMED, ","))).alias("fields"),
+    )
 
 
 # --- dimensions --------------------------------------------------------------
@@ -669,6 +729,8 @@ CATALOGUE: dict[str, Callable[[Lake], DataFrame]] = {
         provider_kpi,
         kpi_upsert,
         nightly_two_runs,
+        quiet_night,
+        malformed_rows,
         scd2_patient,
         scd1_provider,
         plan_dim,

@@ -51,11 +51,20 @@ RAW_CLAIM_COLUMNS = [
     "claim_status",
 ]
 
+MALFORMED = "_malformed"  # a record's text where it doesn't fit its file's header
+
 LINEAGE_COLUMNS = ["_ingestion_ts", "_source_file", "_job_run_id", "_ingest_date"]
 
 BRONZE_CLAIMS = _schema(
     ", ".join(f"{c} string" for c in RAW_CLAIM_COLUMNS)
-    + ", _ingestion_ts timestamp, _source_file string, _job_run_id string, _ingest_date date"
+    + ", _ingestion_ts timestamp, _source_file string, _job_run_id string, _ingest_date date, _malformed string"
+)
+
+QUARANTINE = _schema(
+    "claim_id string, member_id string, provider_id string, claim_date date, admission_date date, "
+    "discharge_date date, claim_amount decimal(18,2), diagnosis_code string, procedure_code string, "
+    "claim_status string, _ingestion_ts timestamp, _source_file string, _job_run_id string, _reject_reason string, "
+    "_bronze_run_id string, _quarantine_ts timestamp, _row_digest string, _malformed string, _ingest_date date"
 )
 
 MEMBERS = _schema(
