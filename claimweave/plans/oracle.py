@@ -384,6 +384,7 @@ _STATEMENTS = {
     "quarantine_report": "SELECT claim_id, _reject_reason FROM bad",
     "claims_latest": f"SELECT {_CLAIM} FROM silver",
     "silver_upsert": f"SELECT {_CLAIM} FROM silver_12",
+    "silver_merged": f"SELECT {_CLAIM} FROM silver_12",
     "silver_clustered": f"SELECT {_CLAIM} FROM silver",
     "incremental_since_watermark": """
         SELECT claim_id, member_id, _ingestion_ts FROM typed

@@ -25,7 +25,7 @@ from claimweave.operators.dedup import latest_per_key
 from claimweave.plans import driver_tables as src
 from claimweave.plans import nightly
 from claimweave.plans.driver_tables import AS_OF, FIRST_LOAD, SPLIT
-from claimweave.sources import control, tables
+from claimweave.sources import catalog, control, tables
 from claimweave.sources.schemas import (
     BRONZE_CLAIMS,
     DIM_PATIENT,
@@ -254,7 +254,16 @@ def silver_upsert(lake: Lake) -> DataFrame:
 
 
 def silver_clustered(lake: Lake) -> DataFrame:
-    return tables.cluster_by(lake.silver, ["member_id", "provider_id", "claim_id"]).select(*CLAIM)
+    return tables.cluster_by_each(lake.silver, ["member_id", "provider_id"], "claim_id").select(*CLAIM)
+
+
+def silver_merged(lake: Lake) -> DataFrame:
+    """The second half merged into a catalog table of the first, by month, past its key summaries."""
+    root, by = scratch_dir(lake.spark, "merged"), nightly.SILVER_PARTS
+    name = f"silver_{uuid.uuid4().hex[:12]}"
+    for part in (lake.silver_first, lake.silver_second):
+        catalog.merge_into(nightly.by_month(part), name, root, ["claim_id"], by, cluster=nightly.CLUSTER)
+    return lake.spark.table(name).select(*CLAIM)
 
 
 def incremental_since_watermark(lake: Lake) -> DataFrame:
@@ -716,6 +725,7 @@ CATALOGUE: dict[str, Callable[[Lake], DataFrame]] = {
         claims_latest,
         silver_upsert,
         silver_clustered,
+        silver_merged,
         incremental_since_watermark,
         append_evolving,
         column_presence,

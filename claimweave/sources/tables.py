@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from claimweave.sources.schemas import CPT, ICD10, PLANS
@@ -48,10 +51,11 @@ def overwrite(
     Partitioned output is rebalanced on the partition columns first: AQE merges
     small partitions and splits one that holds most of the rows, so neither many
     tiny files nor a single overloaded writer results. With `cluster` columns
-    the rows are range-partitioned and sorted instead.
+    the rows are laid out for lookups on any of them instead (`cluster_by_each`);
+    the last completes the range key.
     """
     if cluster:
-        df = cluster_by(df, [*by, *cluster])
+        df = cluster_by_each(df, [*cluster[:-1]], cluster[-1], by)
     elif by:
         df = df.hint("rebalance", *by)
     df.write.format(fmt).mode("overwrite").partitionBy(*by).save(path)
@@ -91,6 +95,52 @@ def cluster_by(df: DataFrame, columns: list[str], files: int | None = None) -> D
     return df.repartitionByRange(*ranges, *columns).sortWithinPartitions(*columns)
 
 
+RANKS = 6  # bits
+
+
+def range_bounds(df: DataFrame, column: str) -> list:
+    """Values that cut a column's rows into 2**RANKS ranges at most, of like numbers of rows."""
+    ranges = df.select(column).filter(F.col(column).isNotNull()).repartitionByRange(1 << RANKS, column)
+    lows = ranges.groupBy(F.spark_partition_id()).agg(F.min(column).alias("low")).collect()
+    return sorted(row.low for row in lows)[1:]
+
+
+def range_rank(column: str, bounds: list, base: int = 0) -> Column:
+    """How many of the bounds a value reaches, by halving; NULL has rank 0."""
+    if not bounds:
+        return F.lit(base)
+    half = len(bounds) // 2
+    upper = range_rank(column, bounds[half + 1 :], base + half + 1)
+    return F.when(F.col(column) >= F.lit(bounds[half]), upper).otherwise(range_rank(column, bounds[:half], base))
+
+
+def morton_key(ranks: list[Column]) -> Column:
+    """The ranks' bits in turn, highest first: rows near in all ranks have keys near each other."""
+    bits = [
+        F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), bit * len(ranks) + len(ranks) - 1 - i)
+        for bit in range(RANKS)
+        for i, rank in enumerate(ranks)
+    ]
+    return reduce(Column.bitwiseOR, bits)
+
+
+def cluster_by_each(
+    df: DataFrame, columns: list[str], last: str, by: tuple[str, ...] = (), files: int | None = None
+) -> DataFrame:
+    """Lay rows out so that a lookup on any one of `columns` meets few files and row groups.
+
+    The rows follow a Morton curve over the ranks of the columns, which keeps every column's values
+    in narrow ranges: of n files a lookup on one of two columns opens about the root of n. `last`, a
+    column of many values, completes the range key, so that a hot combination is cut into several
+    files. The rows are stored once, as their ranges are sampled from them.
+    """
+    df = written(df, "layout")
+    key = morton_key([range_rank(c, range_bounds(df, c)) for c in columns])
+    ranges = [files] if files else []
+    curve = df.withColumn("_curve", key).repartitionByRange(*ranges, *by, "_curve", last)
+    return curve.sortWithinPartitions(*by, "_curve", *columns, last).drop("_curve")
+
+
 def is_empty(df: DataFrame) -> bool:
     """One-row probe."""
     return df.isEmpty()
