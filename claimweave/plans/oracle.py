@@ -280,6 +280,7 @@ _STEPS = {
     "enriched_n": _enriched("silver_n"),
     "enriched_q": _enriched("silver_q"),
     "resolved": _resolved("enriched"),
+    "resolved_12": _resolved("enriched_12"),
     "fact": f"SELECT {_sk('claim_id', 5)} AS claim_sk, * EXCLUDE (claim_date, member_id) FROM resolved",
     "history_fact": f"""
         SELECT claim_id, patient_sk, plan_sk, claim_date_sk, claim_amount, claim_status,
@@ -505,6 +506,10 @@ _STATEMENTS = {
     "watermarks": """
         SELECT event_type AS source_name, max(ts) AS last_watermark FROM events GROUP BY 1""",
     "monthly_summary": _MONTHLY,
+    "monthly_from_sums": _MONTHLY.replace("FROM fact", "FROM resolved_12"),
+    "provider_from_changes": _performance(
+        "p.provider_id, p.provider_name, p.specialization, p.state"
+    ).replace("FROM fact f", "FROM resolved_12 f"),
     "month_over_month": f"""
         WITH m AS ({_MONTHLY})
         SELECT m.* EXCLUDE (avg_turnaround), p.total_claims AS previous_claims,

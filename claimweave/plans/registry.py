@@ -23,7 +23,7 @@ from claimweave.operators import (
 )
 from claimweave.operators.dedup import latest_per_key
 from claimweave.plans import driver_tables as src
-from claimweave.plans import nightly
+from claimweave.plans import nightly, sums
 from claimweave.plans.driver_tables import AS_OF, FIRST_LOAD, SPLIT
 from claimweave.sources import catalog, control, tables
 from claimweave.sources.schemas import (
@@ -607,6 +607,31 @@ def monthly_summary(lake: Lake) -> DataFrame:
     return views.monthly_claims_summary(lake.fact, lake.dates)
 
 
+def _fact_in_two_loads(lake: Lake) -> str:
+    """A fact table with its sums, the second half merged over the first."""
+    root, name = scratch_dir(lake.spark, "fact"), f"fact_{uuid.uuid4().hex[:12]}"
+    sums.merge_fact(lake.loaded(empty(lake.spark, FACT_CLAIMS), lake.staged(lake.silver_first)), name, root)
+    second = warehouse.keyed_batch(
+        lake.spark.table(name).drop("claim_month"), lake.staged(lake.silver_second), lake.patients, lake.providers, lake.plans
+    )
+    sums.merge_fact(second, name, root)
+    return name
+
+
+def monthly_from_sums(lake: Lake) -> DataFrame:
+    """The monthly view after two loads, from sums of which the second renewed its months only."""
+    return sums.monthly_claims_summary(lake.spark, _fact_in_two_loads(lake), lake.dates)
+
+
+def provider_from_changes(lake: Lake) -> DataFrame:
+    """The provider view after two loads, from sums, those of the rows that came and those of the rows that left."""
+    fact = lake._table("first_half_fact", lambda: lake.loaded(empty(lake.spark, FACT_CLAIMS), lake.staged(lake.silver_first)))
+    batch = warehouse.keyed_batch(fact, lake.staged(lake.silver_second), lake.patients, lake.providers, lake.plans)
+    batch = lake._table("second_batch", lambda: batch)
+    before, came, left = (views.provider_sums(f) for f in (fact, batch, merge.matching(fact, batch, ["claim_id"])))
+    return views.performance_of(views.changed_sums(before, came, left, ["provider_sk", "claim_month"]), lake.providers)
+
+
 def month_over_month(lake: Lake) -> DataFrame:
     return views.month_over_month(monthly_summary(lake)).drop("avg_turnaround")
 
@@ -758,6 +783,8 @@ CATALOGUE: dict[str, Callable[[Lake], DataFrame]] = {
         fact_as_of_version,
         watermarks,
         monthly_summary,
+        monthly_from_sums,
+        provider_from_changes,
         month_over_month,
         provider_performance,
         claims_by_state,
