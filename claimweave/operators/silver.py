@@ -19,6 +19,8 @@ from claimweave.operators.dedup import latest_per_key
 from claimweave.operators.merge import missing_from, row_digest
 from claimweave.sources.schemas import MALFORMED, RAW_CLAIM_COLUMNS
 
+Expected = dict[str, str] | None  # expectations: SQL conditions by name
+
 NEWEST_FIRST = ["_ingestion_ts", "_source_file"]
 QUARANTINE_COLUMNS = ["_reject_reason", "_bronze_run_id", "_quarantine_ts", "_row_digest"]
 
@@ -55,14 +57,14 @@ def typed_claims(bronze: DataFrame) -> DataFrame:
     return normalize_codes(coerce_claims(conform_raw(bronze)))
 
 
-def sound_mask(as_of: AsOf = None) -> Column:
-    """True exactly where a record fits its file's header and no rule is broken."""
-    return F.col(MALFORMED).isNull() & valid_mask(as_of)
+def sound_mask(as_of: AsOf = None, expected: Expected = None) -> Column:
+    """True exactly where a record fits its file's header and no rule or expectation is broken."""
+    return F.col(MALFORMED).isNull() & valid_mask(as_of, expected)
 
 
-def rejection(as_of: AsOf = None) -> Column:
-    """Why a record is rejected, `malformed` before all rules; NULL for a sound one."""
-    return F.when(F.col(MALFORMED).isNotNull(), "malformed").otherwise(reject_reason(as_of))
+def rejection(as_of: AsOf = None, expected: Expected = None) -> Column:
+    """Why a record is rejected, `malformed` before all rules, these before expectations; NULL for a sound one."""
+    return F.when(F.col(MALFORMED).isNotNull(), "malformed").otherwise(reject_reason(as_of, expected))
 
 
 def split_valid(df: DataFrame, mask: Column) -> tuple[DataFrame, DataFrame]:
@@ -70,11 +72,11 @@ def split_valid(df: DataFrame, mask: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(mask), df.filter(~mask)
 
 
-def quarantine(bad: DataFrame, run_id: str, as_of: AsOf = None) -> DataFrame:
+def quarantine(bad: DataFrame, run_id: str, as_of: AsOf = None, expected: Expected = None) -> DataFrame:
     """Rejected rows with their reason; the Bronze run id moves to `_bronze_run_id`."""
     return conform_raw(bad).withColumns(
         {
-            "_reject_reason": rejection(as_of),
+            "_reject_reason": rejection(as_of, expected),
             "_bronze_run_id": F.col("_job_run_id"),
             "_quarantine_ts": F.current_timestamp(),
             "_job_run_id": F.lit(run_id),
@@ -94,21 +96,27 @@ def latest_claims(good: DataFrame) -> DataFrame:
     return latest.withColumn("_silver_updated_at", F.current_timestamp())
 
 
-def cleanse(bronze: DataFrame, run_id: str, as_of: AsOf = None) -> tuple[DataFrame, DataFrame]:
-    """Bronze increment -> (latest valid claims, rejected rows)."""
-    good, bad = split_valid(typed_claims(bronze), sound_mask(as_of))
-    return latest_claims(good.drop(MALFORMED)), quarantine(bad, run_id, as_of)
+def cleanse(
+    bronze: DataFrame, run_id: str, as_of: AsOf = None, expected: Expected = None
+) -> tuple[DataFrame, DataFrame]:
+    """Bronze increment -> (latest valid claims, rejected rows).
+
+    A row that fails an expectation is rejected with its name, so an older row of the claim that
+    meets all of them stays in force.
+    """
+    good, bad = split_valid(typed_claims(bronze), sound_mask(as_of, expected))
+    return latest_claims(good.drop(MALFORMED)), quarantine(bad, run_id, as_of, expected)
 
 
 def replay_quarantine(
-    stored: DataFrame, silver: DataFrame, as_of: AsOf = None
+    stored: DataFrame, silver: DataFrame, as_of: AsOf = None, expected: Expected = None
 ) -> tuple[DataFrame, DataFrame]:
     """Re-validate quarantined rows: (rows to upsert into Silver, rows that stay).
 
     Only the newest passing version of a claim is promoted, and only when
     Silver holds none that is as new. Malformed records stay.
     """
-    passing, failing = split_valid(conform_raw(stored), sound_mask(as_of))
+    passing, failing = split_valid(conform_raw(stored), sound_mask(as_of, expected))
     newest = latest_per_key(passing, ["claim_id"], NEWEST_FIRST)
     held = silver.select(
         F.col("claim_id").alias("_held_id"), F.col("_ingestion_ts").alias("_held_ts")

@@ -476,6 +476,16 @@ _STATEMENTS = {
                 CASE WHEN NOT coalesce(discharge_date >= admission_date, false)
                      THEN 'discharged_after_admission' END) AS broken
             FROM typed) WHERE broken <> ''""",
+    "expected_claims": f"""
+        WITH told AS (
+            SELECT *, coalesce(_reject_reason,
+                CASE WHEN NOT coalesce(discharge_date <= claim_date + INTERVAL 100 DAY, false)
+                     THEN 'discharged_in_time'
+                     WHEN NOT coalesce(member_id NOT LIKE 'X%', false) THEN 'known_member' END) AS why
+            FROM judged)
+        SELECT claim_id, member_id, _ingestion_ts, 'silver' AS outcome FROM (
+            {_latest("told WHERE why IS NULL")})
+        UNION ALL SELECT claim_id, member_id, _ingestion_ts, why FROM told WHERE why IS NOT NULL""",
     "diagnosis_codes": """
         SELECT lpad(p_size::VARCHAR, 5, '0') AS icd10_code, max(p_name) AS description,
                max(p_type) AS category, max(p_size % 2)::INT AS chronic_flag FROM part GROUP BY p_size""",
@@ -549,6 +559,14 @@ _STATEMENTS = {
         _filled(c)
         for c in ("member_id", "provider_id", "procedure_code", "claim_id", "claim_amount")
     ),
+    "outliers_from_profile": """
+        SELECT claim_id, member_id, claim_amount FROM typed WHERE claim_amount::DOUBLE > (
+            SELECT avg(claim_amount::DOUBLE) + stddev_samp(claim_amount::DOUBLE) FROM typed)""",
+    "fill_rate_from_profile": " UNION ALL ".join(
+        _filled(c)
+        for c in ("member_id", "provider_id", "procedure_code", "claim_id", "claim_amount")
+    ),
+    "presence_from_profile": _presence(),
     "expectations": " UNION ALL ".join(
         (
             _broken("has_id", "claim_id IS NOT NULL"),

@@ -16,6 +16,7 @@ from claimweave.operators import (
     gold,
     merge,
     ops,
+    profile,
     quality,
     silver,
     views,
@@ -23,7 +24,7 @@ from claimweave.operators import (
 )
 from claimweave.operators.dedup import latest_per_key
 from claimweave.plans import driver_tables as src
-from claimweave.plans import nightly, sums
+from claimweave.plans import nightly, profiles, sums
 from claimweave.plans.driver_tables import AS_OF, FIRST_LOAD, SPLIT
 from claimweave.sources import catalog, control, tables
 from claimweave.sources.schemas import (
@@ -549,6 +550,18 @@ def gated_claims(lake: Lake) -> DataFrame:
     return failing.select("claim_id", "member_id", F.array_join("_broken_rules", ",").alias("broken"))
 
 
+def expected_claims(lake: Lake) -> DataFrame:
+    """Silver behind expectations, and what they and the rules reject, each row with its outcome."""
+    expected = {
+        "discharged_in_time": "discharge_date <= claim_date + INTERVAL 100 DAYS",
+        "known_member": "member_id NOT LIKE 'X%'",
+    }
+    clean, rejected = silver.cleanse(lake.bronze, "check", AS_OF, expected)
+    shown = ("claim_id", "member_id", "_ingestion_ts")
+    kept = clean.select(*shown, F.lit("silver").alias("outcome"))
+    return kept.unionByName(rejected.select(*shown, F.col("_reject_reason").alias("outcome")))
+
+
 def diagnosis_codes(lake: Lake) -> DataFrame:
     """A diagnosis list, written from `part` and read back by its contract."""
     path = scratch_dir(lake.spark, "codes")
@@ -685,6 +698,33 @@ def fill_rate(lake: Lake) -> DataFrame:
     )
 
 
+def _profile_in_two_loads(lake: Lake, table: DataFrame, numbers: tuple[str, ...], others: tuple[str, ...]) -> DataFrame:
+    """The stored profile of a table whose days from SPLIT on, and the day before, came with a second load."""
+    root, name = scratch_dir(lake.spark, "profile"), f"profile_{uuid.uuid4().hex[:12]}"
+    split = F.lit(SPLIT).cast("date")
+    second = table.filter(F.col("_ingest_date") >= split - 1)
+    profiles.renew(table.filter(F.col("_ingest_date") < split), None, name, root, numbers, others)
+    profiles.renew(table, second.select("_ingest_date").distinct(), name, root, numbers, others)
+    return lake.spark.table(name)
+
+
+def outliers_from_profile(lake: Lake) -> DataFrame:
+    """Claims above mean + sigma of all days (amounts here end below 2 sigma), the limit from the profile by day after two loads."""
+    known = _profile_in_two_loads(lake, lake.typed, ("claim_amount",), ())
+    return profile.outliers(lake.typed, known, "claim_amount", 1).select("claim_id", "member_id", "claim_amount")
+
+
+def fill_rate_from_profile(lake: Lake) -> DataFrame:
+    columns = ("member_id", "provider_id", "procedure_code", "claim_id")
+    return profile.fill_rate(_profile_in_two_loads(lake, lake.typed, ("claim_amount",), columns))
+
+
+def presence_from_profile(lake: Lake) -> DataFrame:
+    feed = merge.append_evolving(*_evolving(lake))
+    known = _profile_in_two_loads(lake, feed, (), ("claim_id", "claim_amount", "claim_status", "referral_code"))
+    return profile.presence(known, "_ingest_date")
+
+
 def expectations(lake: Lake) -> DataFrame:
     return quality.expectation_counts(
         lake.typed,
@@ -776,6 +816,7 @@ CATALOGUE: dict[str, Callable[[Lake], DataFrame]] = {
         masked_members,
         encrypted_members,
         gated_claims,
+        expected_claims,
         diagnosis_codes,
         staging_claims,
         fact_load,
@@ -795,6 +836,9 @@ CATALOGUE: dict[str, Callable[[Lake], DataFrame]] = {
         orphans,
         outliers,
         fill_rate,
+        outliers_from_profile,
+        fill_rate_from_profile,
+        presence_from_profile,
         expectations,
         threshold_breach,
         recent_runs,

@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from claimweave.operators import dimensions, gold, merge, ops, quality, silver, views, warehouse
+from claimweave.operators import dimensions, gold, merge, ops, profile, quality, silver, views, warehouse
 from claimweave.operators.dedup import latest_per_key
 from claimweave.sources import audit, control
 from claimweave.sources.tables import written
@@ -457,3 +457,63 @@ def test_feed_delay(spark):
     feed = spark.createDataFrame([("a", dt.datetime(2024, 1, 1, 12, 45)), ("b", dt.datetime(2024, 1, 1, 11))], "source string, _ingestion_ts timestamp")
     expected = spark.createDataFrame([(s, dt.datetime(2024, 1, 1, 12)) for s in "abc"], "source string, expected_at timestamp")
     assert rows(ops.feed_delay(feed, expected, "source"), "source", "delay_minutes") == [("a", 45), ("b", 0), ("c", None)]
+
+
+# --- profiles ----------------------------------------------------------------
+
+
+def profiled_days(spark):
+    """Days of very different sizes and values, one of them a third of all rows, and one NULL."""
+    day = F.when(F.col("id") % 3 == 0, DAY(2024, 1, 1)).when(F.col("id") % 50 != 1, F.date_add(F.lit(DAY(2024, 1, 1)), (F.col("id") % 40).cast("int")))
+    value = F.when(F.col("id") % 7 != 0, F.lit(1e9) + F.rand(3) * F.when(F.col("id") % 3 == 0, 1.0).otherwise(5.0))
+    return settle(spark.range(5000).select("id", day.alias("day"), value.alias("v"), F.when(F.col("id") % 4 == 0, "x").alias("t")))
+
+
+def test_profile_of_days_gives_the_full_scan_s_limit_and_rates(spark):
+    df = profiled_days(spark)
+    known = settle(profile.by_day(df, "day", ["v"], ["t", "id"]))
+    assert known.filter("day IS NULL").count() == 3 and known.select("day").distinct().count() == 41
+    # values near 1e9 that differ by units: squares of the values would lose the spread
+    spread = df.agg(F.stddev_samp("v")).first()[0]
+    whole = profile.combined(known.filter("column_name = 'v'"), "column_name").first()
+    assert (whole.m2 / (whole.filled - 1)) ** 0.5 == pytest.approx(spread, rel=1e-6)
+    assert rows(profile.outliers(df, known, "v", 1.2), "id") == rows(quality.outliers(df, "v", 1.2), "id") != []
+    assert rows(profile.fill_rate(known), "field", "fill_pct") == rows(quality.fill_rate(df, ["v", "t", "id"]), "field", "fill_pct")
+    assert rows(profile.presence(known, "day"), "day", "column_name", "filled", "previous", "drifted") == rows(
+        quality.column_presence(df, "day"), "day", "column_name", "filled", "previous", "drifted"
+    )
+
+
+def test_renewed_profile_equals_a_new_one(spark):
+    df = profiled_days(spark)
+    old = settle(profile.by_day(df, "day", ["v"], ["t"]))
+    # rows come to one day and to the unknown one, and another day loses all of its rows
+    added = df.filter("id < 9").withColumn("day", F.when(F.col("id") < 5, DAY(2024, 1, 3)))
+    now = settle(df.filter("day IS NULL OR day <> DATE '2024-01-05'").union(added))
+    days = spark.createDataFrame([(DAY(2024, 1, 3),), (DAY(2024, 1, 5),), (None,)], "day date")
+    fresh = profile.by_day(now.join(days.withColumnRenamed("day", "d"), F.col("day").eqNullSafe(F.col("d")), "left_semi"), "day", ["v"], ["t"])
+    shown = ("day", "column_name", "row_count", "filled", F.round("mean", 3), F.round("m2", 3))
+    assert rows(profile.renewed(old, fresh, "day", days), *shown) == rows(profile.by_day(now, "day", ["v"], ["t"]), *shown)
+
+
+def test_profiles_of_nothing_of_one_value_and_of_nan(spark):
+    schema = "day date, v double"
+    none = profile.by_day(spark.createDataFrame([], schema), "day", ["v"])
+    assert none.count() == 0 and profile.fill_rate(none).count() == 0
+    one = spark.createDataFrame([(DAY(2024, 1, 1), 5.0), (DAY(2024, 1, 2), None)], schema)
+    known = profile.by_day(one, "day", ["v"])
+    assert rows(known, "day", "row_count", "filled", "mean", "m2") == [(DAY(2024, 1, 1), 1, 1, 5.0, 0.0), (DAY(2024, 1, 2), 1, 0, None, None)]
+    assert profile.outliers(one, known, "v", 0).count() == 0, "one value has no spread"
+    odd = spark.createDataFrame([(DAY(2024, 1, 1), 5.0), (DAY(2024, 1, 2), float("nan"))], schema)
+    assert profile.outliers(odd, profile.by_day(odd, "day", ["v"]), "v").count() == quality.outliers(odd, "v").count() == 0
+
+
+def test_expectations_come_after_the_rules_and_may_not_share_their_names(spark):
+    from claimweave.functions.columns import reject_reason
+
+    data = [("a", Decimal("1"), DAY(2024, 1, 1)), ("b", Decimal("-1"), DAY(2024, 1, 1)), ("c", Decimal("9"), DAY(2024, 1, 1))]
+    df = spark.createDataFrame(data, "claim_id string, claim_amount decimal(18,2), claim_date date")
+    why = reject_reason("2024-06-01", {"small": "claim_amount < 5", "never_null": "nullif(claim_id, 'a') <> 'b'"})
+    assert rows(df, "claim_id", why.alias("why")) == [("a", "never_null"), ("b", "negative_amount"), ("c", "small")]
+    with pytest.raises(ValueError, match="null_amount"):
+        reject_reason("2024-06-01", {"null_amount": "true"})
