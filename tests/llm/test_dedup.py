@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -84,6 +85,31 @@ def test_short_windows_equal_brute_force(spark, odd):
         assert by_text((r[0], r[1], bytes(r[2])) for r in got) == by_text(expected)
 
 
+def test_levels_double_and_equal_brute_force(spark, monkeypatch):
+    """Few words, passages copied in part, whole rows repeated: candidates survive to every level."""
+    assert substring_dedup.levels(35) == [9, 18, 35] and substring_dedup.levels(2) == [1, 2]
+    draw = random.Random(5)
+    base = [draw.choice("abc") for _ in range(60)]
+    texts = []
+    for i in range(120):
+        a, b = sorted(draw.sample(range(61), 2))
+        tail = [draw.choice("abcd") for _ in range(draw.randrange(12))]
+        texts.append(" ".join(tail + base[a:b] + tail[::-1] if i % 3 else tail))
+    texts += texts[:9] + [" ".join("x" * 50), "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    words = [WORD.findall((t or "").encode()) for t in texts]
+    for shortest, length in ((2, 9), (1, 13), (2, 35)):
+        monkeypatch.setattr(substring_dedup, "SHORTEST", shortest)
+        lengths = substring_dedup.levels(length)
+        assert len(lengths) >= 4 and all(a < b <= 2 * a for a, b in zip(lengths, lengths[1:], strict=False))
+        got = substring_dedup.find(docs, length).select("row.doc_id", "n_removed", "kept").collect()
+        expected = [
+            (i, sum(g), b" ".join(x for x, y in zip(w, g, strict=True) if not y).decode())
+            for i, (w, g) in enumerate(zip(words, removed(words, length), strict=True))
+        ]
+        assert by_text(tuple(r) for r in got) == by_text(expected) and any(r[1] for r in got)
+
+
 def test_no_documents_and_clashing_columns(odd, nothing):
     assert substring_dedup.find(nothing).isEmpty() and suffix_dedup.find(nothing).isEmpty()
     assert suffix_dedup.without_repeats(odd).columns == odd.columns
