@@ -48,7 +48,7 @@ _bytes, _words, _check = Rolling(11), Rolling(12), Rolling(13)
 def levels(length: int) -> list[int]:
     """The lengths that are looked at, each at most twice the one before, `length` last."""
     found = [length]
-    while len(found) < 2 or -(-found[0] // 2) >= SHORTEST:
+    while found[0] > 1 and (len(found) < 2 or -(-found[0] // 2) >= SHORTEST):
         found.insert(0, -(-found[0] // 2))
     return found
 
