@@ -59,6 +59,19 @@ def run_durations(audit: DataFrame) -> DataFrame:
     return spans.withColumn("duration_sec", F.timestamp_diff("SECOND", "started_at", "finished_at"))
 
 
+def stream_runs(batches: DataFrame) -> DataFrame:
+    """What each run of the stream took in, and the seconds that its micro-batches were at work."""
+    busy = F.col("finished_at").cast("double") - F.col("started_at").cast("double")
+    return batches.groupBy("job_run_id").agg(
+        F.count(F.lit(1)).alias("batches"),
+        F.sum("files").alias("files"),
+        F.sum("input_bytes").alias("input_bytes"),
+        F.sum("landed_rows").alias("landed_rows"),
+        F.sum(busy).alias("busy_sec"),
+        F.max("finished_at").alias("last_finished_at"),
+    )
+
+
 def last_days(day: str, as_of: AsOf, days: int) -> Column:
     """True for the `days` dates that end at `as_of`."""
     end = as_date(as_of)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimweave.functions.columns import UNRESOLVED, pct
+from claimweave.sources.footers import counting_session, row_count
 
 
 def _stack(pairs: list[tuple[str, Column]], name: str, value: str) -> Column:
@@ -19,11 +20,19 @@ def _stack(pairs: list[tuple[str, Column]], name: str, value: str) -> Column:
 
 def reconcile(stages: dict[str, DataFrame]) -> DataFrame:
     """Row count of each stage and its difference from the stage before."""
+    return _differences({name: df.agg(F.count(F.lit(1)).alias("row_count")) for name, df in stages.items()})
+
+
+def reconcile_stored(spark: SparkSession, stages: dict[str, DataFrame | str]) -> DataFrame:
+    """`reconcile` for Parquet tables as they are stored, by path or as read, counted by their footers alone."""
+    session = counting_session(spark)
+    return _differences({name: row_count(df, session) for name, df in stages.items()})
+
+
+def _differences(counted: dict[str, DataFrame]) -> DataFrame:
     counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(i).alias("stage_no"), F.lit(name).alias("stage"), "row_count"
-        )
-        for i, (name, df) in enumerate(stages.items(), start=1)
+        df.select(F.lit(i).alias("stage_no"), F.lit(name).alias("stage"), "row_count")
+        for i, (name, df) in enumerate(counted.items(), start=1)
     ]
     before = F.lag("row_count").over(Window.orderBy("stage_no"))  # one row per stage
     return reduce(DataFrame.unionByName, counts).withColumn("delta", F.col("row_count") - before)

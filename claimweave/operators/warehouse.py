@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimweave.functions.columns import UNRESOLVED, date_sk
@@ -43,22 +43,53 @@ def resolve_keys(
     return rows.withColumns({c: _or_unresolved(c) for c in ("patient_sk", "provider_sk", "plan_sk")})
 
 
-def resolve_patient_as_of(staged: DataFrame, patients: DataFrame) -> DataFrame:
+def _versions_by_month(patients: DataFrame) -> DataFrame:
+    """Each version of a member at the day on which it begins; versions that hold on no day are left out."""
+    holds = F.col("effective_to").isNull() | (F.col("effective_from") < F.col("effective_to"))
+    return patients.filter(F.col("member_id").isNotNull() & F.col("effective_from").isNotNull() & holds).select(
+        "member_id",
+        F.trunc("effective_from", "month").alias("_month"),
+        F.col("effective_from").alias("_day"),
+        F.lit(1).alias("_kind"),
+        F.struct("effective_to", "patient_sk").alias("_version"),
+    )
+
+
+def _carried(days: DataFrame, versions: DataFrame) -> DataFrame:
+    """For each member and month of `days` or `versions`, the last version that began in an earlier month."""
+    newest = F.max_by("_version", "_day").alias("_newest")
+    ends = versions.groupBy("member_id", "_month").agg(newest)
+    months = ends.unionByName(days.select("member_id", F.trunc("claim_date", "month").alias("_month")).distinct(), True)
+    months = months.groupBy("member_id", "_month").agg(F.first("_newest", ignorenulls=True).alias("_newest"))
+    earlier = Window.partitionBy("member_id").orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.last("_newest", ignorenulls=True).over(earlier)
+    return months.select("member_id", "_month", F.col("_month").alias("_day"), F.lit(0).alias("_kind"), carried.alias("_version"))
+
+
+def resolve_patient_as_of(staged: DataFrame, patients: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """Attach the member version that was valid on the claim date instead of the current one.
 
-    The versions of a member don't overlap, so a claim meets one at most; a claim dated before the
-    first of them stays unresolved.
+    The versions of a member don't overlap; a claim dated before the first of them, or without
+    member or date, stays unresolved. Versions and claims are sorted together once, by member and
+    month, and each claim takes the version last met, so a claim is not held against every version of
+    its member. The version in force as a month begins comes from a frame of one row for each
+    member and month, so that a member with very many claims is spread over the months.
+    `days`, where given, holds at least the members and dates of `staged` and is cheaper to read.
     """
-    versions = patients.select(
-        F.col("member_id").alias("_member"), "effective_from", "effective_to", "patient_sk"
-    )
-    day = F.col("claim_date")
-    valid = (
-        (F.col("member_id") == F.col("_member"))
-        & (F.col("effective_from") <= day)
-        & (F.col("effective_to").isNull() | (day < F.col("effective_to")))
+    dated = F.col("member_id").isNotNull() & F.col("claim_date").isNotNull()
+    versions = _versions_by_month(patients)
+    claims = staged.filter(dated).withColumns(
+        {"_month": F.trunc("claim_date", "month"), "_day": F.col("claim_date"), "_kind": F.lit(2)}
     )
-    rows = staged.join(versions, valid, "left").drop("_member", "effective_from", "effective_to")
+    met = versions.unionByName(_carried((staged if days is None else days).filter(dated), versions))
+    passed = Window.partitionBy("member_id", "_month").orderBy("_day", "_kind")
+    passed = passed.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = claims.unionByName(met, True).withColumn("_version", F.last("_version", ignorenulls=True).over(passed))
+    until = F.col("_version.effective_to")
+    valid = until.isNull() | (F.col("claim_date") < until)
+    found = seen.filter("_kind = 2").withColumn("patient_sk", F.when(valid, F.col("_version.patient_sk")))
+    rest = staged.filter(~dated).withColumn("patient_sk", F.lit(None).cast("bigint"))
+    rows = found.select(*staged.columns, "patient_sk").unionByName(rest)
     return rows.withColumn("patient_sk", _or_unresolved("patient_sk"))
 
 
@@ -73,7 +104,7 @@ def fact_rows(
     batch = latest_per_key(staged, ["claim_id"], ["_gold_updated_at"])
     rows = resolve_keys(batch, patients, providers, plans)
     if as_of_version:
-        rows = resolve_patient_as_of(rows.drop("patient_sk"), patients)
+        rows = resolve_patient_as_of(rows.drop("patient_sk"), patients, staged)
     stamps = {
         "claim_date_sk": date_sk(F.col("claim_date")),
         "admission_date_sk": date_sk(F.col("admission_date")),

@@ -372,6 +372,13 @@ def _presence() -> str:
         FROM (SELECT *, {before} AS previous FROM ({counted}))"""
 
 
+_RECONCILE = """
+    SELECT *, row_count - lag(row_count) OVER (ORDER BY stage_no) AS delta FROM (
+        SELECT 1 AS stage_no, 'raw' AS stage, count(*) AS row_count FROM lineitem UNION ALL
+        SELECT 2, 'bronze', count(*) FROM typed UNION ALL
+        SELECT 3, 'silver', count(*) FROM silver UNION ALL
+        SELECT 4, 'gold', count(*) FROM enriched)"""
+
 _ORPHANS = (
     "SELECT count(*) AS orphan_rows FROM silver WHERE NOT EXISTS (SELECT 1 FROM dim_patient d "
     "WHERE d.is_active AND d.member_id = silver.member_id)"
@@ -542,12 +549,8 @@ _STATEMENTS = {
         LEFT JOIN dim_patient d ON d.patient_sk = f.patient_sk
         LEFT JOIN dim_patient c ON c.member_id = d.member_id AND c.is_active
         LEFT JOIN dim_plan l ON l.plan_sk = f.plan_sk""",
-    "reconcile_layers": """
-        SELECT *, row_count - lag(row_count) OVER (ORDER BY stage_no) AS delta FROM (
-            SELECT 1 AS stage_no, 'raw' AS stage, count(*) AS row_count FROM lineitem UNION ALL
-            SELECT 2, 'bronze', count(*) FROM typed UNION ALL
-            SELECT 3, 'silver', count(*) FROM silver UNION ALL
-            SELECT 4, 'gold', count(*) FROM enriched)""",
+    "reconcile_layers": _RECONCILE,
+    "reconcile_stored": _RECONCILE,
     "unresolved_keys": " UNION ALL ".join(
         _unresolved(c) for c in ("patient_sk", "provider_sk", "plan_sk")
     ),
@@ -595,6 +598,10 @@ _STATEMENTS = {
     "ingestion_velocity": """
         SELECT ts::DATE AS _ingest_date, count(*) AS row_count FROM events
         WHERE ts::DATE > DATE '2024-01-25' - 20 AND ts::DATE <= DATE '2024-01-25' GROUP BY 1""",
+    "stream_runs": """
+        SELECT CASE WHEN event_id % 3 = 0 THEN 'r1' ELSE 'r2' END AS job_run_id,
+               count(*) AS landed_rows, count(*) AS stored_rows, true AS timed
+        FROM events GROUP BY 1""",
     "ops_metrics": f"""
         SELECT (SELECT count(*) FROM typed WHERE discharge_date > DATE '2001-01-01' - 30
                 AND discharge_date <= DATE '2001-01-01') AS throughput_30d,

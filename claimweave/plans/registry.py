@@ -38,7 +38,7 @@ from claimweave.sources.schemas import (
     empty,
 )
 from claimweave.sources.scratch import scratch_dir
-from claimweave.streaming.bronze import ingest_bronze, read_bronze
+from claimweave.streaming.bronze import ingest_bronze, read_batches, read_bronze
 
 REPLAY_AS_OF = "2001-06-01"
 QUIET_AS_OF = "1997-01-01"
@@ -679,6 +679,40 @@ def reconcile_layers(lake: Lake) -> DataFrame:
     )
 
 
+def reconcile_stored(lake: Lake) -> DataFrame:
+    """The same counts from the footers of the stored layers; Silver is a catalog table by month, merged into."""
+    spark, root = lake.spark, scratch_dir(lake.spark, "lake")
+    name = f"silver_{uuid.uuid4().hex[:12]}"
+    catalog.publish(nightly.by_month(lake.silver_first), name, root, nightly.SILVER_PARTS)
+    catalog.merge_into(nightly.by_month(lake.silver), name, root, ["claim_id"], nightly.SILVER_PARTS)
+    return quality.reconcile_stored(
+        spark,
+        {
+            "raw": src.table(spark, lake.sf_dir, "lineitem"),
+            "bronze": lake._table("bronze", lambda: lake.bronze),
+            "silver": spark.table(name),
+            "gold": lake._table("gold_fact", lambda: gold.fact_columns(lake.enriched())),
+        },
+    )
+
+
+def stream_runs(lake: Lake) -> DataFrame:
+    """What each run of the stream brought to Bronze, by the rows that its micro-batches keep on themselves.
+
+    Events arrive as CSV in two drops; stored_rows are counted in Bronze itself.
+    """
+    spark = lake.spark
+    drop, land, state = (scratch_dir(spark, name) for name in ("drop", "bronze", "state"))
+    events = src.table(spark, lake.sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    for run, part in (("r1", F.col("event_id") % 3 == 0), ("r2", F.col("event_id") % 3 > 0)):
+        events.filter(part).write.option("header", True).csv(f"{drop}/{run}")
+        ingest_bronze(spark, drop, land, state, run, batches=f"{land}_batches")
+    runs = ops.stream_runs(read_batches(spark, f"{land}_batches"))
+    stored = read_bronze(spark, land).groupBy("_job_run_id").agg(F.count(F.lit(1)).alias("stored_rows"))
+    both = runs.join(stored, F.col("job_run_id") == F.col("_job_run_id"), "full")
+    return both.select("job_run_id", "landed_rows", "stored_rows", (F.col("busy_sec") > 0).alias("timed"))
+
+
 def unresolved_keys(lake: Lake) -> DataFrame:
     return quality.unresolved_keys(lake.fact)
 
@@ -832,6 +866,7 @@ CATALOGUE: dict[str, Callable[[Lake], DataFrame]] = {
         patient_claims,
         patient_claims_all,
         reconcile_layers,
+        reconcile_stored,
         unresolved_keys,
         orphans,
         outliers,
@@ -844,6 +879,7 @@ CATALOGUE: dict[str, Callable[[Lake], DataFrame]] = {
         recent_runs,
         health_probe,
         run_durations,
+        stream_runs,
         ingestion_velocity,
         ops_metrics,
         feed_delay,

@@ -120,6 +120,10 @@ AUDIT_LOG = _schema(
     "error_message string, event_timestamp timestamp"
 )
 
+BATCHES = _schema(
+    "job_run_id string, files bigint, input_bytes bigint, landed_rows bigint, started_at timestamp, finished_at timestamp"
+)
+
 CONTROL = _schema("source_name string, last_watermark timestamp, updated_at timestamp")
 
 # Code lists are read as text so that codes keep their leading zeros.

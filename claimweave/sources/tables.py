@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,6 +62,11 @@ def overwrite(
     df.write.format(fmt).mode("overwrite").partitionBy(*by).save(path)
 
 
+def glob_escaped(path: str) -> str:
+    """A path whose special characters are not taken for a glob."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -1,6 +1,8 @@
 """Operators on hand-made rows."""
 
 import datetime as dt
+import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -332,6 +334,38 @@ def test_version_valid_on_the_claim_date(spark, star):
     }
 
 
+def test_versions_by_interval_equal_brute_force(spark):
+    """One member of very many versions among others, with gaps, claims on bounds and claims without member or date."""
+    draw = random.Random(7)
+    versions, key = [], 0
+    for name, count in (("hot", 2000), ("a", 5), ("b", 1), ("c", 0)):
+        day = DAY(2015, 1, 1)
+        for i in range(count):
+            start = day + dt.timedelta(draw.choice([0, 0, 3]))
+            end = start + dt.timedelta(draw.choice([0, 1, 2, 40 if count < 10 else 2]))
+            last = i == count - 1 and name != "b"
+            key += 1
+            versions.append((name, start, None if last else end, key))
+            day = end
+    days = [DAY(2014, 12, 1) + dt.timedelta(draw.randrange(3500)) for _ in range(1500)] + [v[1] for v in versions[::40]]
+    claims = [(str(i), draw.choice(["hot", "hot", "a", "b", "c", None]), d) for i, d in enumerate(days)] + [("x", "hot", None), ("x", "hot", None)]
+    patients = spark.createDataFrame(versions, "member_id string, effective_from date, effective_to date, patient_sk bigint")
+    staged = spark.createDataFrame(claims, "claim_id string, member_id string, claim_date date")
+    expected = []
+    for claim_id, name, day in claims:
+        met = [v[3] for v in versions if day and v[0] == name and v[1] <= day and (v[2] is None or day < v[2])]
+        expected.append((claim_id, name, day, met[0] if met else -1))
+        assert len(met) <= 1
+    resolved = warehouse.resolve_patient_as_of(staged, patients)
+    assert resolved.columns == ["claim_id", "member_id", "claim_date", "patient_sk"]
+    assert rows(resolved, *resolved.columns) == sorted(expected, key=repr)
+    assert sum(e[3] > 0 for e in expected) > 500
+    nothing = warehouse.resolve_patient_as_of(staged, patients.limit(0))
+    assert nothing.filter("patient_sk <> -1").isEmpty() and nothing.count() == len(claims)
+    assert warehouse.resolve_patient_as_of(staged.limit(0), patients).isEmpty()
+    assert not re.search(r"(Hash|Merge|Loop)Join", resolved._jdf.queryExecution().executedPlan().toString())
+
+
 def test_provider_kpi_has_one_row_for_unknown_providers(spark, star):
     patients, providers, _ = star
     claims = [claim("a"), claim("b", status="REJECTED", amount="50"), claim("c", p="x"), claim("d", p="y")]
