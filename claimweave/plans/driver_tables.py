@@ -34,9 +34,9 @@ def bronze_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
-    # Two tables that grow together: both are shuffled, whatever their size, and
-    # AQE splits an order that holds too many lines.
-    feed = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
+    # Two tables that grow together: both are shuffled, whatever their size, and AQE splits an
+    # order that holds too many lines. Each task hashes its orders, so no line is sorted.
+    feed = lines.join(orders.hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey")).join(
         parts, F.col("l_partkey") == F.col("p_partkey")
     )
     amount = F.col("l_extendedprice").cast("decimal(18,2)")
