@@ -80,3 +80,15 @@ def test_entry_runs(spark):
     if not os.path.isdir("/root/testdata/sf0.001"):
         pytest.skip("the given tables are not here")
     assert entry.entry(spark).count() > 0
+
+
+def test_lines_are_hashed_to_their_orders_without_a_sort(spark):
+    found = plan(spark, "claims_coerce_normalize")
+    assert "ShuffledHashJoin" in found and "SortMergeJoin" not in found
+
+
+@pytest.mark.parametrize("name", ["expected_claims"])
+def test_queries_that_read_bronze_several_times_join_the_feed_once(spark, name):
+    lake = registry.Lake(spark, SF_DIR)
+    registry.CATALOGUE[name](lake)
+    assert "lineitem" not in lake.bronze._jdf.queryExecution().executedPlan().toString()
