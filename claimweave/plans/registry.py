@@ -297,6 +297,7 @@ def column_presence(lake: Lake) -> DataFrame:
 
 
 def quarantine_replay(lake: Lake) -> DataFrame:
+    lake.store_bronze()
     promoted, _ = silver.replay_quarantine(lake.quarantined, lake.silver, REPLAY_AS_OF)
     return merge.upsert(lake.silver, promoted, ["claim_id"], null_safe=False).select(*CLAIM)
 
