@@ -806,6 +806,7 @@ def ingestion_velocity(lake: Lake) -> DataFrame:
 
 
 def ops_metrics(lake: Lake) -> DataFrame:
+    lake.store_bronze()
     lost = quality.orphans(lake.silver, gold.current_rows(lake.patients), "member_id")
     unresolved = quality.unresolved_keys(lake.fact).select("row_count")
     return ops.ops_metrics(

@@ -87,7 +87,7 @@ def test_lines_are_hashed_to_their_orders_without_a_sort(spark):
     assert "ShuffledHashJoin" in found and "SortMergeJoin" not in found
 
 
-@pytest.mark.parametrize("name", ["expected_claims", "quarantine_replay"])
+@pytest.mark.parametrize("name", ["expected_claims", "quarantine_replay", "ops_metrics"])
 def test_queries_that_read_bronze_several_times_join_the_feed_once(spark, name):
     lake = registry.Lake(spark, SF_DIR)
     registry.CATALOGUE[name](lake)
