@@ -92,3 +92,10 @@ def test_queries_that_read_bronze_several_times_join_the_feed_once(spark, name):
     lake = registry.Lake(spark, SF_DIR)
     registry.CATALOGUE[name](lake)
     assert "lineitem" not in lake.bronze._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bronze_writes_each_day_out_once(spark):
+    found = plan(spark, "incremental_since_watermark"), registry.Lake(spark, SF_DIR).bronze
+    whole = found[1]._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"cast\(cast\(\w+#\d+ as date\) as string\)", whole)) == 2
+    assert "as date) as string)" not in found[0]
