@@ -94,6 +94,12 @@ def test_queries_that_read_bronze_several_times_join_the_feed_once(spark, name):
     assert "lineitem" not in lake.bronze._jdf.queryExecution().executedPlan().toString()
 
 
+def test_reconcile_stored_joins_the_feed_once(spark):
+    lake = registry.Lake(spark, SF_DIR)
+    registry.CATALOGUE["reconcile_stored"](lake)
+    assert "lineitem" not in lake.bronze._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bronze_writes_each_day_out_once(spark):
     found = plan(spark, "incremental_since_watermark"), registry.Lake(spark, SF_DIR).bronze
     whole = found[1]._jdf.queryExecution().executedPlan().toString()
