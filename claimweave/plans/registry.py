@@ -165,6 +165,13 @@ class Lake:
 
     # Gold and warehouse
 
+    def claims_once(self) -> DataFrame:
+        """Silver for a plan that reads it once: the stored table if there is one, otherwise a part of that plan.
+
+        Claims that are still dealt by their id, as the cleansing leaves them, are not shuffled for the fact load again.
+        """
+        return self._tables.get("silver_claims") or self.cleansed()[0]
+
     def enriched(self, claims: DataFrame | None = None) -> DataFrame:
         claims = self.silver if claims is None else claims
         return gold.enrich_claims(claims, self.patients, self.providers)
@@ -179,7 +186,7 @@ class Lake:
 
     def first_fact(self) -> DataFrame:
         """The fact load of all claims into an empty warehouse."""
-        return self.loaded(empty(self.spark, FACT_CLAIMS), self.staged())
+        return self.loaded(empty(self.spark, FACT_CLAIMS), self.staged(self.claims_once()))
 
     @cached_property
     def fact(self) -> DataFrame:

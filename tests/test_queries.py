@@ -28,6 +28,17 @@ def test_every_query_has_a_twin():
     assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_a_fact_load_shuffles_claims_by_their_id_once(spark):
+    """Silver that one plan reads once is not stored, and its claims stay where the cleansing dealt them."""
+    lake = registry.Lake(spark, SF_DIR)
+    loaded = lake.first_fact()._jdf.queryExecution().executedPlan().toString()
+    assert not [name for name in lake._tables if name.startswith("silver")]
+    dealt = re.findall(r"Exchange hashpartitioning\(claim_id#", loaded)
+    assert len(dealt) == 1, dealt
+    stored = lake.silver
+    assert lake.claims_once() is stored
+
+
 def test_lookups_run_nothing_while_planned(spark):
     """Building a query that only joins and aggregates starts no job."""
     lake = registry.Lake(spark, SF_DIR)
