@@ -199,7 +199,7 @@ class Lake:
             "history_fact",
             lambda: warehouse.load_fact(
                 empty(self.spark, FACT_CLAIMS),
-                self.staged(),
+                self.staged(self.claims_once()),
                 self.first_patients,
                 self.providers,
                 self.plans,
