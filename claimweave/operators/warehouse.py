@@ -9,7 +9,7 @@ from claimweave.functions.columns import UNRESOLVED, date_sk
 from claimweave.operators.dedup import latest_per_key
 from claimweave.operators.dimensions import assign_sk, highest_key
 from claimweave.operators.gold import current_rows
-from claimweave.operators.lookup import lookup
+from claimweave.operators.lookup import SALTS, lookup
 from claimweave.operators.merge import matching, without_keys
 from claimweave.sources.schemas import FACT_CLAIMS, STAGED_CLAIMS, conform
 
@@ -26,12 +26,16 @@ def _or_unresolved(sk: str) -> Column:
 
 
 def resolve_keys(
-    staged: DataFrame, patients: DataFrame, providers: DataFrame, plans: DataFrame
+    staged: DataFrame, patients: DataFrame | None, providers: DataFrame, plans: DataFrame
 ) -> DataFrame:
-    """Add the three current surrogate keys, -1 where the natural key is unknown."""
-    rows = lookup(
-        staged, current_rows(patients).select("member_id", "patient_sk"), "member_id", ["claim_id"]
-    )
+    """Add the three current surrogate keys, -1 where the natural key is unknown.
+
+    Without `patients` the member's key is left out, for `resolve_patient_as_of` to add.
+    """
+    rows = staged
+    if patients is not None:
+        members = current_rows(patients).select("member_id", "patient_sk")
+        rows = lookup(rows, members, "member_id", ["claim_id"])
     rows = lookup(
         rows,
         current_rows(providers).select("provider_id", "provider_sk"),
@@ -40,7 +44,8 @@ def resolve_keys(
     )
     known_plans = current_rows(plans).select(F.col("plan_id").alias("insurance_plan_id"), "plan_sk")
     rows = lookup(rows, known_plans, "insurance_plan_id", ["claim_id"])
-    return rows.withColumns({c: _or_unresolved(c) for c in ("patient_sk", "provider_sk", "plan_sk")})
+    found = (["patient_sk"] if patients is not None else []) + ["provider_sk", "plan_sk"]
+    return rows.withColumns({c: _or_unresolved(c) for c in found})
 
 
 def _versions_by_month(patients: DataFrame) -> DataFrame:
@@ -73,23 +78,29 @@ def resolve_patient_as_of(staged: DataFrame, patients: DataFrame, days: DataFram
     member or date, stays unresolved. Versions and claims are sorted together once, by member and
     month, and each claim takes the version last met, so a claim is not held against every version of
     its member. The version in force as a month begins comes from a frame of one row for each
-    member and month, so that a member with very many claims is spread over the months.
-    `days`, where given, holds at least the members and dates of `staged` and is cheaper to read.
+    member and month, so that a member with very many claims is spread over the months. Claims without
+    member or date pass with the others, spread by their id. `days`, where given, holds at least the members and dates of `staged` and is cheaper to read.
     """
     dated = F.col("member_id").isNotNull() & F.col("claim_date").isNotNull()
     versions = _versions_by_month(patients)
-    claims = staged.filter(dated).withColumns(
-        {"_month": F.trunc("claim_date", "month"), "_day": F.col("claim_date"), "_kind": F.lit(2)}
+    spread = F.pmod(F.xxhash64("claim_id"), F.lit(SALTS)).cast("int")
+    claims = staged.withColumns(
+        {
+            "_month": F.trunc("claim_date", "month"),
+            "_day": F.col("claim_date"),
+            "_kind": F.lit(2),
+            "_salt": F.when(dated, F.lit(0)).otherwise(spread),
+        }
     )
     met = versions.unionByName(_carried((staged if days is None else days).filter(dated), versions))
-    passed = Window.partitionBy("member_id", "_month").orderBy("_day", "_kind")
+    passed = Window.partitionBy("member_id", "_month", "_salt").orderBy("_day", "_kind")
     passed = passed.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = claims.unionByName(met, True).withColumn("_version", F.last("_version", ignorenulls=True).over(passed))
+    seen = claims.unionByName(met.withColumn("_salt", F.lit(0)), True)
+    seen = seen.withColumn("_version", F.last("_version", ignorenulls=True).over(passed))
     until = F.col("_version.effective_to")
     valid = until.isNull() | (F.col("claim_date") < until)
     found = seen.filter("_kind = 2").withColumn("patient_sk", F.when(valid, F.col("_version.patient_sk")))
-    rest = staged.filter(~dated).withColumn("patient_sk", F.lit(None).cast("bigint"))
-    rows = found.select(*staged.columns, "patient_sk").unionByName(rest)
+    rows = found.select(*staged.columns, "patient_sk")
     return rows.withColumn("patient_sk", _or_unresolved("patient_sk"))
 
 
@@ -102,9 +113,9 @@ def fact_rows(
 ) -> DataFrame:
     """Staged claims as fact rows, still without their claim keys."""
     batch = latest_per_key(staged, ["claim_id"], ["_gold_updated_at"])
-    rows = resolve_keys(batch, patients, providers, plans)
+    rows = resolve_keys(batch, None if as_of_version else patients, providers, plans)
     if as_of_version:
-        rows = resolve_patient_as_of(rows.drop("patient_sk"), patients, staged)
+        rows = resolve_patient_as_of(rows, patients, staged)
     stamps = {
         "claim_date_sk": date_sk(F.col("claim_date")),
         "admission_date_sk": date_sk(F.col("admission_date")),

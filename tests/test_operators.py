@@ -366,6 +366,18 @@ def test_versions_by_interval_equal_brute_force(spark):
     assert not re.search(r"(Hash|Merge|Loop)Join", resolved._jdf.queryExecution().executedPlan().toString())
 
 
+def test_an_as_of_load_passes_its_claims_once_and_seeks_no_current_member(spark, star):
+    """Claims are read for their rows and for their days, members for their versions and for those carried on."""
+    patients, providers, plans = star
+    claims = settle(spark.createDataFrame([claim("a"), claim("b", day=DAY(2024, 1, 1))], CLAIMS))
+    staged = settle(warehouse.to_staging(gold.build_fact(claims, patients, providers)))
+    loaded = warehouse.fact_rows(staged, patients, providers, plans, as_of_version=True)
+    plan = loaded._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[claim_id#", plan)) == 2, plan
+    assert len(re.findall(r"Relation \[patient_sk#", plan)) == 2, plan
+    assert sorted(r.claim_id for r in loaded.collect()) == ["a", "b"]
+
+
 def test_provider_kpi_has_one_row_for_unknown_providers(spark, star):
     patients, providers, _ = star
     claims = [claim("a"), claim("b", status="REJECTED", amount="50"), claim("c", p="x"), claim("d", p="y")]
