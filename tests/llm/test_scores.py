@@ -261,6 +261,27 @@ def test_cells_that_need_not_meet_do_not(spark):
     assert rows_found(spark, rows, 50) == brute(rows)
 
 
+def test_queries_are_not_broadcast(spark):
+    """Each slice of rows gets the queries by shuffle, however few Spark takes them for."""
+    rows = [(i, [float(i % 7), 1.0]) for i in range(120)]
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(("every", "distinct"), [(1, 600), (3, 5)])
+def test_many_slices_and_bands_lose_nothing(spark, monkeypatch, every, distinct):
+    """Bands of a few queries; where rows repeat, one cell's queries are dealt over several."""
+    for name, value in (("GROUP", 16), ("MEET", 1024), ("BLOCK", 32)):
+        monkeypatch.setattr(topk, name, value)
+    rng = np.random.default_rng(3)
+    kinds = rng.normal(size=(distinct, 8))
+    rows = [(int(i), kinds[i % distinct].tolist()) for i in range(600)]
+    vectors = topk.integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    cells, _, _ = topk._cells(vectors, vectors.filter(F.col("vec_id") % every == 0), 8, 5)
+    assert cells.slices(1) > 4 and (cells.band + cells.dealt).max() > 3 and (every == 1 or cells.dealt.max() > 1)
+    assert rows_found(spark, rows, every) == brute(rows, every=every)
+
+
 def generalised_jaccard(a, b):
     a, b = collections.Counter(a.split()), collections.Counter(b.split())
     return sum((a & b).values()) / max(1, sum((a | b).values()))
